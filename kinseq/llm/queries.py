@@ -3,10 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinseq.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.substring_dedup import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ";")
+    return out.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
+OP1_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+unit AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM cut),
+placed AS (
+  SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) - length(line) - 1 AS s0,
+    trim(regexp_replace(lower(line), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS norm FROM unit),
+ranked AS (
+  SELECT *, len(string_split(norm, ' ')) >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM placed),
+made AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(s0 || ':' || (s0 + length(line)), ';' ORDER BY pos) FILTER (gone), '') AS removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE m.n_units END AS n_units, coalesce(m.n_removed, 0) AS n_removed,
+  coalesce(m.removed, '') AS removed, CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(m.kept, '')) END AS text_sha256
+FROM documents d LEFT JOIN made m ON d.doc_id = m.doc_id
+"""
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.ngram_join import near_duplicates
 
@@ -14,6 +43,9 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+}
