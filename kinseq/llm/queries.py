@@ -42,10 +42,62 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.template_lines import drop_template_lines
+
+    out = drop_template_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("n_lines").cast("long"), F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ";").alias("dropped"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op8_sql(documents: str = "documents") -> str:
+    """WITH-clauses that end in ``dropped(rid, pos)`` and ``line(rid, doc_id, text, pos, line)``."""
+    return rf"""
+row_ AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {documents}),
+line AS (
+  SELECT rid, doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line FROM row_),
+parsed AS (
+  SELECT *, trim(line, ' ') AS bare, string_split(trim(line, ' '), ' ') AS tok FROM line),
+leafed AS (
+  SELECT rid, text, pos, bare, len(tok) AS n,
+    CASE WHEN len(tok) < 3 THEN '' ELSE len(tok) || ':' || regexp_replace(array_to_string(tok[1:3], ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') END AS leaf FROM parsed),
+around AS (
+  SELECT *, coalesce(lag(leaf) OVER w, '^') || chr(10) || coalesce(lead(leaf) OVER w, '$') AS ctx,
+    regexp_replace(bare, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS form FROM leafed WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+seen AS (SELECT * FROM around WHERE leaf <> ''),
+exact_ AS (
+  SELECT leaf, form FROM (SELECT leaf, form, count(DISTINCT ctx) AS c, count(DISTINCT (ctx, text)) AS t FROM seen GROUP BY leaf, form) WHERE c >= 10 AND c >= 0.5 * t),
+wide AS (SELECT leaf FROM seen GROUP BY leaf HAVING count(DISTINCT ctx) >= 10),
+forms AS (SELECT leaf, form, count(*) AS c FROM seen SEMI JOIN wide USING (leaf) GROUP BY leaf, form),
+token AS (SELECT leaf, form, c, generate_subscripts(string_split(form, ' '), 1) AS at_, unnest(string_split(form, ' ')) AS token FROM forms),
+vote AS (SELECT leaf, at_, token, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY leaf, at_) AS total FROM token GROUP BY leaf, at_, token),
+constant_ AS (SELECT leaf, at_, token FROM vote WHERE 2 * c > total AND token <> '<*>'),
+member AS (
+  SELECT leaf, form FROM token JOIN constant_ USING (leaf, at_, token) GROUP BY leaf, form HAVING count(*) >= 0.5 * len(string_split(form, ' '))),
+general AS (
+  SELECT leaf FROM (SELECT leaf, count(DISTINCT ctx) AS c, count(DISTINCT (ctx, text)) AS t FROM seen SEMI JOIN member USING (leaf, form) GROUP BY leaf) WHERE c >= 10 AND c >= 0.5 * t),
+chosen AS (SELECT leaf, form FROM exact_ UNION SELECT leaf, form FROM member SEMI JOIN general USING (leaf)),
+dropped AS (SELECT rid, pos FROM seen SEMI JOIN chosen USING (leaf, form))"""
+
+
+OP8_SQL = (
+    "WITH "
+    + op8_sql()
+    + r"""
+SELECT r.doc_id, CASE WHEN r.text IS NULL THEN 0 ELSE count(l.pos) END AS n_lines, count(d.pos) AS n_dropped,
+  coalesce(string_agg(CAST(d.pos AS VARCHAR), ';' ORDER BY d.pos), '') AS dropped,
+  CASE WHEN r.text IS NULL THEN NULL ELSE sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (d.pos IS NULL), '')) END AS text_sha256
+FROM row_ r LEFT JOIN line l USING (rid) LEFT JOIN dropped d ON l.rid = d.rid AND l.pos = d.pos
+GROUP BY r.rid, r.doc_id, r.text
+"""
+)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op8_line_dedup": op8_line_dedup,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
