@@ -92,10 +92,24 @@ GROUP BY r.rid, r.doc_id, r.text
 )
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """Where the public vocabulary files of this machine are; never copied into the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.sentencepiece_bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
