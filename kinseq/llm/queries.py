@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import table
+from kinseq.llm.common import crc_mod, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,14 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.quality import THRESHOLD, score_quality
+
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.template_lines import drop_template_lines
 
@@ -110,6 +118,7 @@ QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op4_quality_classifier": op4_quality_classifier,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
