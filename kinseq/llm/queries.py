@@ -50,6 +50,14 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.language_id import identify
+
+    held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    out = identify(table(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.template_lines import drop_template_lines
 
@@ -119,6 +127,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_language_id": op5_language_id,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
