@@ -108,6 +108,13 @@ GROUP BY r.rid, r.doc_id, r.text
 )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.decontaminate import leaks
+
+    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", *[F.round(c, 6).alias(c) for c in ("overlap", "question_overlap", "answer_overlap", "score")])
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     """Where the public vocabulary files of this machine are; never copied into the repository."""
     import public_tokenizers
@@ -128,6 +135,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_language_id": op5_language_id,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
