@@ -94,9 +94,9 @@ def shingle_levels(docs: DataFrame, text: str = "text") -> np.ndarray:
     for row in part.collect():  # 64 rows
         counts[row.block] += np.frombuffer(row.cells, dtype=np.uint32)
     counts = counts.reshape(-1)
-    mean = max(1.0, float(counts.mean()))
-    over = (counts - mean) / (mean + 4 * np.sqrt(mean) + 2)
-    return np.clip(np.where(over > 1, 1 + np.floor(2 * np.log2(np.maximum(over, 1))), 0), 0, 31).astype(np.uint8)
+    mean = float(counts.mean())
+    over = (counts - mean) / np.sqrt(mean + 1)  # in standard deviations of what chance puts in a cell
+    return np.clip(np.where(over > 2, np.floor(2 * np.log2(np.maximum(over, 1))), 0), 0, 31).astype(np.uint8)
 
 
 # --------------------------------------------------------------------------- sets and features
@@ -240,9 +240,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = cells.select("cid", "comp", "hub").distinct().join(hub, "hub", "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
         else:
             x, y = (cells.select("token", *[F.col(c).alias(c + s) for c in ("cid", "n", "comp", "pos")]) for s in "xy")
-            # what two sets can share, from the places of a shingle that both hold
-            most = F.least("posx", "posy") + 1 + F.least(F.col("nx") - F.col("posx") - 1, F.col("ny") - F.col("posy") - 1)
-            near = (F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")) & (F.lit(den) * most >= F.lit(num) * (F.col("nx") + F.col("ny") - most))
+            # sets that share ``need`` elements share one among the first n - need + 1 of either
+            need = F.ceil(F.lit(num) * (F.col("nx") + F.col("ny")) / F.lit(num + den))
+            near = (F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")) & (F.col("posx") <= F.col("nx") - need) & (F.col("posy") <= F.col("ny") - need)
             pairs = x.join(y, "token").filter("cidx < cidy and compx <> compy").filter(near).select(F.col("cidx").alias("a"), F.col("cidy").alias("b"))
         more = verified(source, classes, pairs, levels, num, den)
         links = materialise(links.unionByName(more), "links")
