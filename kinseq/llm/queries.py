@@ -42,6 +42,14 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.lm_score import score_texts
+
+    held = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    out = score_texts(table(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.quality import THRESHOLD, score_quality
 
@@ -136,6 +144,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_language_id": op5_language_id,
     "op9_decontamination": op9_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
