@@ -66,6 +66,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.hilbert_ann import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.template_lines import drop_template_lines
 
@@ -145,6 +151,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op9_decontamination": op9_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
