@@ -72,6 +72,12 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinseq.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.template_lines import drop_template_lines
 
@@ -152,6 +158,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_html_extraction": op7_html_extraction,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
