@@ -53,6 +53,16 @@ LABELLED = np.array(
         (220, 0.05, 9, 0.0, 0, 0.0, 0, 1, 0, 1),
         (3, 0.0, 0, 0.0, 8, 0.0, 0, 1, 0, 1),
         (30, 0.3, 18, 0.0, 25, 0.1, 0, 1, 0, 1),
+        (1, 0.0, 1, 1.0, 2, 0.9, 0, 1, 0, 1),
+        (4, 0.0, 12, 0.8, 8, 0.0, 0, 1, 0, 1),
+        (9, 0.0, 8, 0.0, 1, 1.0, 1, 1, 0, 1),
+        (50, 0.0, 1, 1.0, 12, 0.6, 0, 1, 0, 1),
+        (3, 1.0, 20, 0.0, 2, 1.0, 0, 1, 0, 1),
+        (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1),
+        (16, 0.7, 30, 0.0, 8, 0.0, 0, 1, 0, 1),
+        (20, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+        (6, 0.0, 6, 0.0, 6, 0.0, 0, 1, 0, 1),
+        (110, 0.0, 100, 0.0, 4, 1.0, 0, 1, 0, 1),
         # furniture, wherever it stands and however long
         (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1, 0),
         (1, 1.0, 1, 1.0, 8, 0.0, 0, 0, 1, 0),
@@ -64,6 +74,12 @@ LABELLED = np.array(
         (4, 0.0, 60, 0.0, 20, 0.0, 1, 1, 1, 0),
         (120, 0.02, 12, 0.0, 10, 0.0, 0, 1, 1, 0),
         (3, 0.0, 90, 0.0, 0, 0.0, 1, 0, 1, 0),
+        (70, 0.0, 3, 0.0, 90, 0.0, 0, 1, 1, 0),
+        (10, 0.0, 70, 0.0, 8, 0.0, 0, 1, 1, 0),
+        (33, 0.1, 20, 0.0, 40, 0.0, 0, 0, 1, 0),
+        (200, 0.0, 0, 0.0, 200, 0.0, 0, 0, 1, 0),
+        (15, 0.0, 15, 0.0, 15, 0.0, 0, 1, 1, 0),
+        (5, 1.0, 5, 1.0, 45, 0.0, 0, 1, 1, 0),
         # unmarked pages: text by its length and links, and what stands amid text
         (60, 0.0, 50, 0.0, 70, 0.0, 0, 0, 0, 1),
         (40, 0.1, 3, 1.0, 60, 0.0, 0, 0, 0, 1),
