@@ -1,11 +1,70 @@
-"""The corpus pipeline (stages are filled in as the operators land)."""
+"""The corpus pipeline: quality filter, line dedup, near-duplicate removal, decontamination, encoding.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and, but for the
+last, returns the columns of ``documents``.  The operators are used with the parameters of their own
+queries.  No stage but the quality filter, the near-duplicate join (one document of each group
+stays) and decontamination (documents that hold a test item go) drops a document.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinseq.llm.common import crc_mod, materialise, one_row_per_id, table, without
+from kinseq.llm.decontaminate import leaks
+from kinseq.llm.ngram_join import near_duplicates
+from kinseq.llm.quality import keep_good
+from kinseq.llm.queries import tokenizer_path
+from kinseq.llm.sentencepiece_bpe import encode
+from kinseq.llm.template_lines import drop_template_lines
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"), F.coalesce(crc_mod("doc_id", 5) != 0, F.lit(False)))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates are cut; every document stays, with its new length."""
+    out = drop_template_lines(docs)
+    changed = F.size("dropped") > 0
+    return out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each component of near duplicates stays."""
+    found = near_duplicates(docs)
+    gone = materialise(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    return one_row_per_id(without(docs, gone))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, materialise(found.select("doc_id").distinct(), "leaked"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every document that is left."""
+    out = encode(docs, tokenizer_path())
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicate_removal),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding", encoding),
+]
+
+#: SQL cannot express the classifier; tests/llm/test_pipeline.py compares with brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+    return STAGES[-1][1](spark, docs, sf_dir)

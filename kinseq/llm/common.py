@@ -249,3 +249,22 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
             break
         last = tuple(now)
     return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+
+
+# --------------------------------------------------------------------------- dropping by id
+
+#: Up to so many ids a filter list may be broadcast; above, the same join shuffles.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` less the rows of the written table ``ids(id_col)``; rows without an id stay."""
+    gone = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+
+
+def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of each id; only rows whose id repeats are shuffled.  Rows without an id stay."""
+    twice = materialise(docs.groupBy(id_col).count().filter(f"count > 1 and {id_col} is not null").select(id_col), "repeated")
+    again = F.broadcast(twice) if twice.count() <= BROADCAST_IDS else twice
+    return without(docs, twice, id_col).unionByName(docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col]))

@@ -206,14 +206,36 @@ def _score(model):
     return run
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", row_col: str | None = None) -> DataFrame:
-    """(doc_id, score) of every row; ``training`` is a condition on the label rows.
-
-    ``row_col`` names a row key to return instead of the id (for callers that join back)."""
+def _train(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str):
+    """(broadcast word vectors, written features, network)"""
     spark = docs.sparkSession
     small_batches(spark)
     vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col))
     features = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(_pool(vectors), "doc_id long, features binary")
     features = materialise(features, "pooled")
-    net = fit(features, labels.filter(training), label_col, id_col)
-    return features.mapInArrow(_score(spark.sparkContext.broadcast(net)), "doc_id long, score double")
+    return vectors, features, fit(features, labels.filter(training), label_col, id_col)
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """(doc_id, score) of every row; ``training`` is a condition on the label rows."""
+    _, features, net = _train(docs, labels, training, id_col, text_col, label_col)
+    return features.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(net)), "doc_id long, score double")
+
+
+def _keep(vectors_of, net_of, text_at: int, threshold: float):
+    def run(batches):
+        vectors, net = vectors_of.value, net_of.value
+        for batch in batches:
+            x = [pooled(raw, offs, vectors) for raw, offs in _chunks(batch.column(text_at))]
+            x = np.concatenate(x) if x else np.zeros((0, 4 * DIM + 1))
+            s = net.score(x.astype(np.float64)) if net is not None else np.full(len(x), 0.5)
+            yield batch.filter(pa.array(s >= threshold))
+
+    return run
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, all columns kept; no shuffle of texts."""
+    vectors, _, net = _train(docs, labels, training, id_col, text_col, label_col)
+    net = docs.sparkSession.sparkContext.broadcast(net)
+    return docs.mapInArrow(_keep(vectors, net, docs.columns.index(text_col), threshold), docs.schema)
