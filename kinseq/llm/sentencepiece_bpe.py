@@ -319,7 +319,7 @@ def _digest_batches(path: str):
             n, ids_sha, text_sha = np.diff(offs), [], []
             known = texts.to_pylist()
             for at in range(0, len(known), 256):  # the lists of ids are the largest things here
-                own = [ids[a:b] for a, b in zip(offs[at : at + 256], offs[at + 1 : at + 257], strict=True)]
+                own = [ids[a:b] for a, b in zip(offs[:-1][at : at + 256], offs[1:][at : at + 256], strict=True)]
                 theirs = vocab.library.encode([t or "" for t in known[at : at + 256]], add_bos=True, add_eos=True, num_threads=1)
                 for k, x in enumerate(own):
                     if x.tolist() != theirs[k]:
