@@ -29,7 +29,7 @@ def confirmations(frames: DataFrame, keys: list[str], order: str, time: str, sta
     placed = runs.withColumn("_n", F.row_number().over(in_run)).withColumn("_t0", F.first(time).over(in_run))
     need = F.when(F.col(state) == "U", F.lit(min_up)).otherwise(F.lit(min_down)) + 1
     kept = placed.filter(F.col("_n") == need)
-    kept = kept.filter(F.col(state) != F.coalesce(F.lag(state).over(w), F.lit("D")))
+    kept = kept.withColumn("_before", F.coalesce(F.lag(state).over(w), F.lit("D"))).filter(F.col(state) != F.col("_before"))
     bound = F.when(F.col(state) == "U", F.col("_t0") - delay).otherwise(F.col("_t0") + delay)
     return kept.select(*keys, order, F.col(state).alias("kind"), bound.alias("bound"))
 
@@ -43,8 +43,7 @@ def single_hand_segments(confirmed: DataFrame, keys: list[str], order: str, sent
     paired = confirmed.withColumn("_end", F.lead("bound").over(w)).filter((F.col("kind") == "U") & F.col("_end").isNotNull())
     if sentinel:
         paired = paired.filter((F.col("bound") != 0) & (F.col("_end") != 0))
-    index = F.row_number().over(w) - 1
-    return paired.select(*keys, index.alias("seg_idx"), (F.col("bound") / 1000).alias("start_s"), (F.col("_end") / 1000).alias("end_s"))
+    return paired.select(*keys, (F.row_number().over(w) - 1).alias("seg_idx"), (F.col("bound") / 1000).alias("start_s"), (F.col("_end") / 1000).alias("end_s"))
 
 
 def merge_hands(confirmed: DataFrame, keys: list[str], order: str, hand: str = "hand", sentinel: bool = True) -> DataFrame:
