@@ -87,23 +87,24 @@ def _chunks(column: pa.Array):
 
 
 def _contexts(batches):
-    index, total = index_vectors(), np.zeros((WORDS + SHAPES, DIM + 1))
+    by_dim, total = index_vectors().T.copy(), np.zeros((DIM + 1, WORDS + SHAPES))
     for batch in batches:
         for raw, offs in _chunks(batch.column(0)):
             word, shape, text = tokens(raw, offs)
             if not len(word):
                 continue
-            own = index[word] + index[WORDS + shape]
-            around = np.zeros_like(own)
-            for d in range(1, WINDOW + 1):
-                same = (text[d:] == text[:-d])[:, None]
-                around[d:] += own[:-d] * same
-                around[:-d] += own[d:] * same
+            same = [(text[d:] == text[:-d]).astype(np.float32) for d in range(1, WINDOW + 1)]
             for ids in (word, WORDS + shape):
-                order = np.argsort(ids, kind="stable")
-                kinds, first = np.unique(ids[order], return_index=True)
-                total[kinds, :DIM] += np.add.reduceat(around[order], first, axis=0)
-                total[kinds, DIM] += np.diff(np.append(first, len(ids)))
+                total[DIM] += np.bincount(ids, minlength=WORDS + SHAPES)
+            for j in range(DIM):
+                own = by_dim[j][word] + by_dim[j][WORDS + shape]
+                around = np.zeros(len(own), dtype=np.float32)
+                for d, near in enumerate(same, 1):
+                    around[d:] += own[:-d] * near
+                    around[:-d] += own[d:] * near
+                for ids in (word, WORDS + shape):
+                    total[j] += np.bincount(ids, weights=around, minlength=WORDS + SHAPES)
+    total = total.T.copy()
     some = np.flatnonzero(total[:, DIM])
     flat = pa.array(total[some].reshape(-1), pa.float64())
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * (DIM + 1), pa.int32()), flat)], names=["word", "sums"])
@@ -128,8 +129,13 @@ def pooled(raw: np.ndarray, offs: np.ndarray, vectors: np.ndarray) -> np.ndarray
     if len(word):
         owner, first = np.unique(text, return_index=True)
         count = np.diff(np.append(first, len(text)))[:, None]
-        out[owner, : 2 * DIM] = np.add.reduceat(vectors[word], first, axis=0) / count
-        out[owner, 2 * DIM : 4 * DIM] = np.add.reduceat(vectors[WORDS + shape], first, axis=0) / count
+        for at in range(0, len(owner), 128):  # counts of words and shapes by text, times their vectors
+            lo, hi = first[at], first[at + 128] if at + 128 < len(first) else len(text)
+            local, n = np.searchsorted(owner[at : at + 128], text[lo:hi]), min(128, len(owner) - at)
+            rows = owner[at : at + 128]
+            for ids, size, base, to in ((word, WORDS, 0, 0), (shape, SHAPES, WORDS, 2 * DIM)):
+                table = np.bincount(local * size + ids[lo:hi], minlength=n * size).reshape(n, size).astype(np.float32)
+                out[rows, to : to + 2 * DIM] = table @ vectors[base : base + size] / count[at : at + 128]
         out[owner, 4 * DIM] = np.log1p(count[:, 0]) / 10
     return out
 
