@@ -88,7 +88,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     table = np.zeros((len(langs), (1 << BUCKET_BITS) // WIDTH, WIDTH))
     for r in sums:
         table[langs.index(r.lang), r.block] = r.counts
-    table = table.reshape(len(langs), -1) + SMOOTH
+    table = table.reshape(len(langs), 1 << BUCKET_BITS) + SMOOTH
     return langs, np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32)
 
 

@@ -83,10 +83,11 @@ def _cut(kind: str, min_words: int, text_at: int, gone_at: int, schema: pa.Schem
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the text cut, ``n_units`` and ``removed``: array of (start, end) added."""
+    """``docs`` with the text cut, ``n_units`` and ``removed``: array of (start, end) added or replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(docs.sparkSession)
+    docs = docs.drop("n_units", "removed")
     owned = materialise(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_digests(kind, min_words), "doc_id long, digest binary"), "digests")
     repeated = owned.groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").select("digest", "keeper")
     gone = owned.join(repeated, "digest").filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set("digest").alias("_gone"))
