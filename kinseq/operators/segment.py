@@ -186,6 +186,9 @@ def live_segments(frames: DataFrame, **options) -> DataFrame:
     """SEG2, SEG3 in batch over (clip_id, frame_idx, t_ms, left_angle, right_angle), a clip at a time."""
     import pyarrow as pa
 
+    from kinseq.sources.code import ship_code
+
+    ship_code(frames.sparkSession)
     names = [part.split()[0] for part in LIVE_SCHEMA.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:

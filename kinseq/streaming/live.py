@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from kinseq.operators.segment import LIVE_SCHEMA, LiveSession
+from kinseq.sources.code import ship_code
 
 _ARM = "up boolean, ups int, downs int, start double, end double, angle double"
 _STATE = f"left struct<{_ARM.replace(' ', ':').replace(',:', ',')}>, right struct<{_ARM.replace(' ', ':').replace(',:', ',')}>, buffer array<long>, emitted int"
@@ -19,6 +20,7 @@ def live_stream(frames: DataFrame, **options) -> DataFrame:
     inside each micro-batch, and batches are taken to come in order.  Append mode: a row when a
     sign closes; nothing is flushed at the end of input.
     """
+    ship_code(frames.sparkSession)
     names = [part.split()[0] for part in LIVE_SCHEMA.split(", ")]
 
     def step(key, batches, state: GroupState):
