@@ -233,7 +233,7 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         else:
             both = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        joined = both.join(low, "u")
+        joined = both.join(low.hint("merge"), "u")
         if large:
             out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:

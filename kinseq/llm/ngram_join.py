@@ -11,9 +11,9 @@ Method
    *group*.  Only one row per task and group carries a prefix, so copies never multiply rows.
 3. Postings ``(shingle, group)`` are aggregated to one hub group per shingle.  Star rounds
    compare every member of a list with its hub (a linear number of pairs); what is then in one
-   component needs no more comparisons.  A last round expands the groups of every list that
-   still holds several components and compares all pairs *across* components, so no link
-   between different texts that could join two components is lost.
+   component needs no more comparisons.  Once few pairs are left, a last round expands the groups
+   of every list that still holds several components and compares all pairs *across*
+   components, so no link between different texts that could join two components is lost.
 4. Pairs pass a size filter and an exact bitmap bound (xor-ed bits bound the symmetric
    difference from below), and are then verified on the full shingle sets.
 
@@ -36,8 +36,9 @@ from kinseq.llm.common import connected_components, materialise, shingles, small
 SHINGLE, NUM, DEN = 5, 80, 100
 #: Cells of the count sketch: its size, and so what is broadcast, never changes.
 SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14
-#: Star rounds before all remaining pairs across components are compared.
-STARS = 2
+#: All pairs across components are compared as soon as the lists left hold at most ``PAIRED`` pairs
+#: a member on average, or after ``STARS`` more star rounds.
+PAIRED, STARS = 64, 6
 #: Up to so many ids a filter list may be broadcast; above, the same join shuffles.
 BROADCAST_IDS = 500_000
 
@@ -233,11 +234,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # the members of every list that still holds several components; a group is a list too
         member = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", "n", F.coalesce("comp", "cid").alias("comp"))
         cells = lists.select("token", "gid", "pos").join(member, "gid").unionByName(member.select(F.col("gid").alias("token"), "gid", F.lit(0).alias("pos"), "cid", "n", "comp"))
-        span = cells.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max("cid").alias("h1"), F.min("cid").alias("h0")).filter("c0 <> c1").select("token", F.col("h1" if turn % 2 == 0 else "h0").alias("hub"))
+        each = cells.groupBy("token", "comp").agg(F.max("cid").alias("h1"), F.min("cid").alias("h0"), F.count("*").cast("double").alias("m"))
+        # how many pairs of the list are of different components
+        span = each.groupBy("token").agg(F.count("*").alias("k"), F.max("h1").alias("h1"), F.min("h0").alias("h0"), F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
+        span = span.filter("k > 1").select("token", F.col("h1" if turn % 2 == 0 else "h0").alias("hub"), ((F.col("s") * F.col("s") - F.col("q")) / 2 / F.col("s")).alias("across"))
         cells = materialise(cells.join(span, "token"), "cells")
-        if turn < STARS:
-            hub = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-            pairs = cells.select("cid", "comp", "hub").distinct().join(hub, "hub", "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
+        size, paired = cells.agg(F.count("*"), F.sum("across")).first()
+        if not size:
+            break
+        last = turn == STARS or paired <= PAIRED * size
+        if not last:
+            of_hub = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+            pairs = cells.select("cid", "comp", "hub").distinct().join(of_hub, "hub", "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
         else:
             x, y = (cells.select("token", *[F.col(c).alias(c + s) for c in ("cid", "n", "comp", "pos")]) for s in "xy")
             # sets that share ``need`` elements share one among the first n - need + 1 of either
@@ -246,6 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = x.join(y, "token").filter("cidx < cidy and compx <> compy").filter(near).select(F.col("cidx").alias("a"), F.col("cidy").alias("b"))
         more = verified(source, classes, pairs, levels, num, den)
         links = materialise(links.unionByName(more), "links")
+        if last:
+            break
     comps = connected_components(links)
     of_class = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "low", F.coalesce("comp", "cid").alias("comp"))
     lowest = of_class.groupBy("comp").agg(F.min("low").alias("component_id"))
@@ -260,6 +270,8 @@ def verified(source: DataFrame, classes: DataFrame, pairs: DataFrame, levels, nu
     left, right = (classes.select(F.col("cid").alias(s), F.col("n").alias("n" + s), F.col("bits").alias("x" + s), F.col("low").alias("low" + s)) for s in "ab")
     sized = pairs.join(left, "a").join(right, "b").filter(F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb"))
     close = materialise(sized.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_bitmap_filter(num, den), "a long, b long"), "close")
+    if close.isEmpty():
+        return close
     ids = classes.join(close.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi").select(F.col("low").alias("doc_id"))
     ids = materialise(ids, "ids")
     if ids.count() <= BROADCAST_IDS:
