@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinseq.sources.code import ship_code
+
 # --------------------------------------------------------------------------- scratch tables
 
 
@@ -39,7 +41,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound what one Arrow batch of long texts can hold in a Python worker."""
+    """Bound what one Arrow batch of long texts can hold in a Python worker; send the code there."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
