@@ -9,30 +9,33 @@ from kinseq.llm.common import crc_mod, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each removed passage of the corpus: where it was, which document keeps it, and a
+    digest of what is left of its own document (documents without one are unchanged)."""
     from kinseq.llm.substring_dedup import remove_repeats
 
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    spans = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ";")
-    return out.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+    return out.select("doc_id", F.explode("removed").alias("r"), F.sha2("text", 256).alias("text_sha256")).select("doc_id", "r.start", "r.end", "r.words", "r.kept_in", "text_sha256")
 
 
 OP1_SQL = r"""
 WITH cut AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+  SELECT doc_id, text, string_split(regexp_replace(text, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS l FROM documents),
 unit AS (
-  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM cut),
+  SELECT doc_id, text, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM cut),
 placed AS (
   SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) - length(line) - 1 AS s0,
     trim(regexp_replace(lower(line), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS norm FROM unit),
+counted AS (SELECT *, len(string_split(norm, ' ')) AS words FROM placed),
 ranked AS (
-  SELECT *, len(string_split(norm, ' ')) >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM placed),
-made AS (
-  SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
-    coalesce(string_agg(s0 || ':' || (s0 + length(line)), ';' ORDER BY pos) FILTER (gone), '') AS removed,
-    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM ranked GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE m.n_units END AS n_units, coalesce(m.n_removed, 0) AS n_removed,
-  coalesce(m.removed, '') AS removed, CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(m.kept, '')) END AS text_sha256
-FROM documents d LEFT JOIN made m ON d.doc_id = m.doc_id
+  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) AS n, min(doc_id) OVER (PARTITION BY norm) AS lo FROM counted WHERE words >= 3),
+broken AS (SELECT *, sum(CASE WHEN n > 1 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM ranked),
+span AS (
+  SELECT doc_id, min(pos) AS p0, max(pos) AS p1, min(s0) AS a, max(s0 + length(line)) AS b, CAST(sum(words) AS BIGINT) AS words, (list(lo ORDER BY words DESC, pos))[1] AS kept_in
+  FROM broken WHERE n > 1 GROUP BY doc_id, run HAVING sum(words) >= 30),
+kept AS (
+  SELECT u.doc_id, string_agg(u.line || substr(u.text, u.s0 + length(u.line) + 1, 1), '' ORDER BY u.pos) AS t
+  FROM placed u WHERE NOT EXISTS (SELECT 1 FROM span s WHERE s.doc_id = u.doc_id AND u.pos BETWEEN s.p0 AND s.p1) GROUP BY u.doc_id)
+SELECT s.doc_id, s.a AS start, s.b AS "end", s.words, s.kept_in, sha256(coalesce(kept.t, '')) AS text_sha256 FROM span s LEFT JOIN kept USING (doc_id)
 """
 
 

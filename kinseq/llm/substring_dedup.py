@@ -1,17 +1,19 @@
-"""Substring dedup by line or paragraph hashing.
+"""Substring dedup by line and paragraph hashing.
 
-Texts are cut into units (lines, or paragraphs set apart by blank lines).  A unit of at least
-``MIN_WORDS`` words is normalised (lower case, each run of 0x20/0x09-0x0D one space, ends
-trimmed) and hashed to 128 bits.  Digests are grouped globally to the smallest id that holds
-them; the earliest occurrence there stays (smallest id, then smallest place in its text) and every
-other occurrence is removed.  Spans of what was removed are code-point offsets into the original.
+Texts are cut into units: lines, and inside them sentences (a space after ``.``, ``!`` or ``?``
+ends one), or paragraphs set apart by blank lines.  A unit of at least ``MIN_UNIT`` words is normalised
+(lower case, each run of 0x20/0x09-0x0D one space, ends trimmed) and hashed to 64 bits.  Digests are
+grouped globally to the smallest id that holds them: its first occurrence there is the earliest
+ranked, every other one is a repeat.  A *passage* is a run of neighbouring repeats (shorter units
+between two repeats belong to it) of at least ``MIN_PASSAGE`` words; passages are removed, so a chance
+repeat of one short sentence removes nothing.  Removed spans are code-point offsets into the original.
 
 Only digests, never units, are shuffled to find repeats; per digest only a minimum and a maximum
-are kept, summed on the map side, so a line that a third of all texts hold costs a row per task.
+are kept, combined on the map side, so a line that a third of all texts hold costs a row per task.
 
-Defined results: null or empty texts have no units; short units always stay; rows that repeat an
-id count as one document, in which each row keeps what the document keeps; a null id ranks after
-all others; extra columns pass through.
+Defined results: null or empty texts have no units; rows that repeat an id count as one document, in
+which each row keeps what the document keeps; a null id ranks after all others; extra columns
+pass through (``n_units`` and ``removed`` are replaced).
 """
 
 from __future__ import annotations
@@ -25,74 +27,102 @@ from pyspark.sql import functions as F
 
 from kinseq.llm.common import materialise, small_batches
 
-MIN_WORDS = 5
+MIN_UNIT, MIN_PASSAGE = 3, 30
 _LAST = (1 << 63) - 1
-_CUT = {"line": re.compile("\n"), "paragraph": re.compile("\n[ \t\r\f\v]*\n[ \t\r\f\v\n]*")}
+_CUT = {"line": re.compile(r"\n|(?<=[.!?]) "), "paragraph": re.compile("\n[ \t\r\f\v]*\n[ \t\r\f\v\n]*")}
 
 
-def units(text: str, kind: str = "line") -> list[tuple[int, int, str]]:
-    """(start, end, unit) of every unit in code points, without what separates them."""
+def units(text: str, kind: str = "line") -> list[tuple[int, int]]:
+    """(start, end) of every unit in code points, without what separates them."""
     at, out = 0, []
     for m in _CUT[kind].finditer(text):
-        out.append((at, m.start(), text[at : m.start()]))
+        out.append((at, m.start()))
         at = m.end()
-    out.append((at, len(text), text[at:]))
+    out.append((at, len(text)))
     return out
 
 
-def unit_digest(unit: str, min_words: int) -> bytes | None:
+def unit_digest(unit: str, min_unit: int) -> tuple[int | None, int]:
+    """(digest, or None for a short unit; words)"""
     words = unit.lower().encode("utf-8", "surrogatepass").split()
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if len(words) >= min_words else None
-
-
-def _digests(kind: str, min_words: int):
+    if len(words) < min_unit:
+        return None, len(words)
+    return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True), len(words)
+
+
+def passages(text: str, own, gone: dict, kind: str, min_unit: int, min_passage: int):
+    """(units, [(first unit, last unit, words, id that keeps its longest unit)]) of what is removed."""
+    parts, seen, runs, run = units(text, kind), set(), [], []
+
+    def close() -> None:
+        words = sum(n for _, n, _ in run)
+        if run and words >= min_passage:
+            runs.append((run[0][0], run[-1][0], words, max(run, key=lambda r: (r[1], -r[0]))[2]))
+        run.clear()
+
+    for k, (start, end) in enumerate(parts):
+        d, n = unit_digest(text[start:end], min_unit)
+        if d is None:
+            continue
+        if d in gone or d in seen:
+            run.append((k, n, gone.get(d, own)))
+        else:
+            seen.add(d)
+            close()
+    close()
+    return parts, runs
+
+
+def _digests(kind: str, min_unit: int):
     def run(batches):
         for batch in batches:
             ids, digests = [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = {d for _, _, u in units(text or "", kind) if (d := unit_digest(u, min_words))}
+                found = {unit_digest(text[a:b], min_unit)[0] for a, b in units(text, kind)} - {None} if text else ()
                 ids += [_LAST if i is None else i] * len(found)
                 digests += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary())], names=["doc_id", "digest"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.int64())], names=["doc_id", "digest"])
 
     return run
 
 
-def _cut(kind: str, min_words: int, text_at: int, gone_at: int, schema: pa.Schema):
+_REMOVED = "array<struct<start:long,end:long,words:long,kept_in:long>>"
+
+
+def _cut(kind: str, min_unit: int, min_passage: int, text_at: int, gone_at: int, schema: pa.Schema):
     def run(batches):
         for batch in batches:
             kept, spans, counts = [], [], []
-            for text, gone in zip(batch.column(text_at).to_pylist(), batch.column(gone_at).to_pylist(), strict=True):
-                gone, seen, stay, cut = set(gone or ()), set(), [], []
-                parts = units(text or "", kind)
-                for start, end, unit in parts:
-                    d = unit_digest(unit, min_words)
-                    if d is not None and (d in gone or d in seen):
-                        cut.append({"start": start, "end": end})
-                    else:
-                        stay.append(unit)
-                        seen.add(d)
-                kept.append(None if text is None else text if not cut else ("\n" if kind == "line" else "\n\n").join(stay))
-                spans.append(cut)
+            columns = list(batch.columns)
+            owner, gone = columns[gone_at].to_pylist(), columns[gone_at + 1].to_pylist()
+            for text, own, shared in zip(columns[text_at].to_pylist(), owner, gone, strict=True):
+                parts, runs = passages(text or "", own, {x["digest"]: x["keeper"] for x in shared or ()}, kind, min_unit, min_passage)
+                out, at = [], 0
+                for first, last, _, _ in runs:
+                    out.append(text[at : parts[first][0]])
+                    at = parts[last + 1][0] if last + 1 < len(parts) else len(text)
+                kept.append(text if not runs else "".join(out) + text[at:])
+                spans.append([{"start": parts[a][0], "end": parts[b][1], "words": w, "kept_in": None if i == _LAST else i} for a, b, w, i in runs])
                 counts.append(len(parts) if text else 0)
-            columns = [c for k, c in enumerate(batch.columns) if k != gone_at]
+            columns = columns[:gone_at]
             columns[text_at] = pa.array(kept, schema.field(text_at).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], schema=schema)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(spans, schema.field(gone_at + 1).type)], schema=schema)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the text cut, ``n_units`` and ``removed``: array of (start, end) added or replaced."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "line", min_unit: int = MIN_UNIT, min_passage: int = MIN_PASSAGE) -> DataFrame:
+    """``docs`` with the text cut, ``n_units`` and ``removed``: the passages cut out, as (start, end,
+    words, kept_in), the last being the id whose text keeps the passage's longest unit."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(docs.sparkSession)
     docs = docs.drop("n_units", "removed")
-    owned = materialise(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_digests(kind, min_words), "doc_id long, digest binary"), "digests")
-    repeated = owned.groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").select("digest", "keeper")
-    gone = owned.join(repeated, "digest").filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set("digest").alias("_gone"))
+    owned = materialise(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_digests(kind, min_unit), "doc_id long, digest long"), "digests")
+    shared = owned.groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").select("digest", "keeper")
+    gone = owned.join(shared, "digest").filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set(F.struct("digest", "keeper")).alias("_gone"))
     keyed = docs.withColumn("_owner", F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)))
-    joined = keyed.join(gone.withColumnRenamed("doc_id", "_owner"), "_owner", "left").select(*docs.columns, "_gone")
-    out = docs.withColumns({"n_units": F.lit(0).cast("long"), "removed": F.lit(None).cast("array<struct<start:long,end:long>>")}).schema
+    joined = keyed.join(gone.withColumnRenamed("doc_id", "_owner"), "_owner", "left").select(*docs.columns, "_owner", "_gone")
+    out = docs.withColumns({"n_units": F.lit(0).cast("long"), "removed": F.lit(None).cast(_REMOVED)}).schema
     at = docs.columns.index(text_col)
-    return joined.mapInArrow(_cut(kind, min_words, at, len(docs.columns), to_arrow_schema(out)), out)
+    return joined.mapInArrow(_cut(kind, min_unit, min_passage, at, len(docs.columns), to_arrow_schema(out)), out)

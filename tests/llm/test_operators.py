@@ -30,6 +30,23 @@ def test_sql(spark, duck, name):
     same_rows(q.QUERIES[name](spark, DATA), duck, q.ORACLES[name])
 
 
+def test_passages_inside_lines_and_paragraphs(spark):
+    from kinseq.llm.substring_dedup import remove_repeats
+
+    rng = random.Random(9)
+    prose = lambda n: " ".join(" ".join(rng.choice("bcdfgklm") + rng.choice("aeiou") * rng.randint(1, 4) + str(rng.randint(0, 999)) for _ in range(8)) + "." for _ in range(n))
+    passage = prose(7)
+    docs = [(1, prose(3) + "\n" + passage + "\n" + prose(2)), (2, prose(4) + " " + passage + " " + prose(4)), (3, prose(9)), (4, passage.upper()), (5, prose(2) + "\n\n" + prose(1))]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert not got[1].removed and not got[3].removed and not got[5].removed
+    start = docs[1][1].index(passage)
+    assert [tuple(x) for x in got[2].removed] == [(start, start + len(passage), 56, 1)]
+    assert got[2].text == docs[1][1][:start] + docs[1][1][start + len(passage) + 1 :]
+    assert got[4].text == "" and got[4].removed[0].kept_in == 1
+    whole = spark.createDataFrame([(1, "a b\n\n" + passage), (2, passage + "\n\nc d")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in remove_repeats(whole, kind="paragraph").collect()} == {1: "a b\n\n" + passage, 2: "c d"}
+
+
 def test_hashes_tell_words_apart():
     texts = ["Hello  World a", "", None, " x\ty\x0bz ", "one two three four five six", "the same one two three four five", "w" * 3_000_000 + " end"]
     hashes, offs = word_hashes(*string_buffers(pa.array(texts)))
