@@ -786,3 +786,142 @@ def udf2_score_stub(spark, sf_dir):
     packed = c.frames(spark, sf_dir).groupBy("clip_id").agg(F.transform(rows, lambda r: r["value"]).alias("v"))
     out = score_batches(packed, stub_scores, "clip_id long, logits array<double>")
     return out.select("clip_id", F.round(F.array_max("logits"), 3).alias("top"))
+
+
+# --------------------------------------------------------------------------- chains and small operators
+
+
+def _chain_sql() -> str:
+    inner = _anchor_sql("no").replace("WITH ", "", 1).replace(", 6) AS", ", 12) AS")
+    head, _, tail = inner.rpartition("\nSELECT ")
+    return f"""WITH {head}, done AS (SELECT {tail}), n AS (SELECT clip_id, max(frame_idx) + 1 AS l FROM done GROUP BY clip_id)
+SELECT n.clip_id, CAST(i AS INTEGER) AS frame_idx, round(d."leftShoulder_x" - 0.5, 5) AS sx, round(d.nose_x - 0.5, 5) AS nx FROM n, range(40) r(i) JOIN done d ON d.clip_id = n.clip_id AND d.frame_idx = i % n.l"""
+
+
+@query("udf1_transformer_chain", _chain_sql())
+def udf1_transformer_chain(spark, sf_dir):
+    """normalise_body -> normalise_hands -> pad -> shift in one plan."""
+    from kinseq.plans.chains import transformer_steps
+    from kinseq.plans.config import TransformOptions, run_chain
+
+    options = TransformOptions(anchor="nose", neck_source="column", num_frames=40)
+    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, _MARKS, {}))
+    return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 5).alias("sx"), F.round("nose.x", 5).alias("nx"))
+
+
+@query("udf1_training_chain")
+def udf1_training_chain(spark, sf_dir):
+    """The same with drawn augmentations and noise, which have queries of their own."""
+    from kinseq.plans.chains import transformer_steps
+    from kinseq.plans.config import TransformOptions, run_chain
+
+    options = TransformOptions(split="train", aug_prob=0.5, anchor="nose", neck_source="column", num_frames=40, gaussian_noise=True)
+    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, [*_MARKS, "leftWrist"], {"leftWrist": ["leftElbow"]}))
+    return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 6).alias("sx"), F.round("leftElbow.x", 6).alias("ex"))
+
+
+@query(
+    "udf1_graph_chain",
+    """WITH e AS (SELECT label AS clip_id, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INTEGER) AS frame_idx, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT clip_id, max(frame_idx) + 1 AS l FROM e GROUP BY clip_id),
+p AS (SELECT n.clip_id, CAST(i AS INTEGER) AS frame_idx, e.v FROM n, range(30) r(i) JOIN e ON e.clip_id = n.clip_id AND e.frame_idx = i % n.l),
+b AS (SELECT clip_id, frame_idx, v[1] AS j0, v[2] - v[1] AS j1, v[4] - v[2] AS j3 FROM p),
+m AS (SELECT clip_id, frame_idx, coalesce(lead(j0) OVER w - j0, 0) AS j0, coalesce(lead(j1) OVER w - j1, 0) AS j1, coalesce(lead(j3) OVER w - j3, 0) AS j3 FROM b WINDOW w AS (PARTITION BY clip_id ORDER BY frame_idx))
+SELECT clip_id, frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(j0) OVER c, 5) AS j3 FROM m WINDOW c AS (PARTITION BY clip_id)""",
+)
+def udf1_graph_chain(spark, sf_dir):
+    """pad -> bones -> motion -> root_centre."""
+    from kinseq.plans.chains import graph_steps
+    from kinseq.plans.config import TransformOptions, run_chain
+
+    at = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    e = c.read(spark, sf_dir, "embeddings").select(F.col("label").alias("clip_id"), at.alias("frame_idx"), F.transform(F.slice("embedding", 1, 27), lambda x: x.cast("double")).alias("v"))
+    options = TransformOptions(model="graph", num_frames=30, bone_stream=True, motion_stream=True, bone_mode="true")
+    out = run_chain(e, graph_steps(options))
+    return out.select("clip_id", "frame_idx", *[F.round(F.get("v", F.lit(i)), 5).alias(f"j{i}") for i in (0, 1, 3)])
+
+
+@query("flt9_detected", f"WITH {c.FRAMES} SELECT clip_id, frame_idx FROM frames WHERE vis >= CAST(0.4 AS DOUBLE)")
+def flt9_detected(spark, sf_dir):
+    from kinseq.sources.readers import detected
+
+    f = c.frames(spark, sf_dir).withColumn("pose", F.when(F.col("vis") >= 0.4, F.col("value")))
+    return detected(f).select("clip_id", "frame_idx")
+
+
+def _components(spark, sf_dir) -> DataFrame:
+    p = c.read(spark, sf_dir, "part")
+    kinds = F.array(*[F.lit(k) for k in ("POSE_LANDMARKS", "FACE_LANDMARKS", "POSE_WORLD_LANDMARKS", "LEFT_HAND_LANDMARKS")])
+    return p.select("p_partkey", F.get(kinds, (F.col("p_partkey") % 4).cast("int")).alias("component"), F.col("p_size").cast("string").alias("point"))
+
+
+_COMPONENTS = "SELECT p_partkey, (['POSE_LANDMARKS', 'FACE_LANDMARKS', 'POSE_WORLD_LANDMARKS', 'LEFT_HAND_LANDMARKS'])[p_partkey % 4 + 1] AS component, CAST(p_size AS VARCHAR) AS point FROM part"
+
+
+@query("flt10_component_pruning", f"SELECT * FROM ({_COMPONENTS}) WHERE component <> 'POSE_WORLD_LANDMARKS' AND (component <> 'FACE_LANDMARKS' OR point IN ('0', '13', '14', '17', '33', '37'))")
+def flt10_component_pruning(spark, sf_dir):
+    return sk.drop_components(_components(spark, sf_dir), keep_face=True)
+
+
+@query("mth12_select_landmarks", "SELECT s_suppkey, CAST(i AS INTEGER) AS joint FROM supplier, range(54) r(i) WHERE i <> 1 AND (s_suppkey % 2 = 0 OR i < 12)")
+def mth12_select_landmarks(spark, sf_dir):
+    """The 54-landmark layout from long observations (the neck, number 1, is never observed)."""
+    points = [(a, b) for a, b in sk.landmark_points() if b != "NECK"]
+    seen = spark.createDataFrame([*points, ("FACE_LANDMARKS", "70")], "component string, point string")
+    keep = (F.col("s_suppkey") % 2 == 0) | (F.col("component") == "POSE_LANDMARKS")
+    obs = c.read(spark, sf_dir, "supplier").select("s_suppkey").join(F.broadcast(seen)).filter(keep)
+    return sk.select_points(obs, sk.landmark_points()).select("s_suppkey", "joint")
+
+
+@query("map1_inverse", f"WITH {c.CLIPS} SELECT gloss_id % 3 AS gloss_id, max(gloss) AS gloss FROM vocab GROUP BY 1")
+def map1_inverse(spark, sf_dir):
+    v = md.vocabulary(c.clips(spark, sf_dir))
+    return md.inverse(v.withColumn("gloss_id", F.col("gloss_id") % 3))
+
+
+@query("set4_right_wins", "SELECT coalesce(b.c_custkey, a.o_custkey) AS k, coalesce(b.c_name, 'left') AS v FROM (SELECT DISTINCT o_custkey FROM orders) a FULL JOIN customer b ON a.o_custkey = b.c_custkey")
+def set4_right_wins(spark, sf_dir):
+    """SET4: two keyed maps merged, the right one's value where both have a key."""
+    left = c.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")).distinct().withColumn("v", F.lit("left"))
+    right = c.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v"))
+    return left.join(right.withColumnRenamed("v", "r"), "k", "full").select("k", F.coalesce("r", "v").alias("v"))
+
+
+@query("srt1_sorted_listing", f"WITH {c.CLIPS} SELECT video, CAST(row_number() OVER (ORDER BY video DESC) AS INTEGER) AS place FROM (SELECT DISTINCT cam || '/' || gloss || '.mp4' AS video FROM clips)")
+def srt1_sorted_listing(spark, sf_dir):
+    listing = c.clips(spark, sf_dir).select(F.concat_ws("/", "cam", F.format_string("%s.mp4", "gloss")).alias("video")).distinct()
+    return listing.withColumn("place", F.row_number().over(Window.orderBy(F.desc("video"))))
+
+
+@query("str2_log_line", "SELECT event_id, printf('[%.2f] %s: %.6f', value, event_type, value / 1000) AS line FROM events")
+def str2_log_line(spark, sf_dir):
+    return c.read(spark, sf_dir, "events").select("event_id", F.format_string("[%.2f] %s: %.6f", F.col("value"), F.col("event_type"), F.col("value") / 1000.0).alias("line"))
+
+
+@query("snk3_metadata_json", f"WITH {c.CLIPS} SELECT cam, video_id, signer_id, gloss FROM clips")
+def snk3_metadata_json(spark, sf_dir):
+    """SRC1, SNK3: metadata through JSON, a folder a camera."""
+    from kinseq.sources import writers
+
+    path = _root(spark)
+    writers.write_metadata(c.clips(spark, sf_dir).select("cam", "video_id", "signer_id", "gloss"), path)
+    return spark.read.schema("video_id string, signer_id string, gloss string, cam string").json(path)
+
+
+@query("snk5_evaluation", f"WITH {_MACRO} SELECT round(avg(pr), 6) AS precision, round(avg(re), 6) AS recall, (SELECT count(*) FROM pred) AS n FROM each")
+def snk5_evaluation(spark, sf_dir):
+    from kinseq.sources import writers
+
+    path, pred = _root(spark), _predicted(spark, sf_dir)
+    writers.write_evaluation(mt.macro_scores(pred), pred.select("clip_id", "label", "pred"), path)
+    n = spark.read.parquet(f"{path}/predictions").agg(F.count("*").alias("n"))
+    return spark.read.schema("precision double, recall double, f1 double").json(f"{path}/metrics").join(F.broadcast(n)).select(*r6("precision", "recall"), "n")
+
+
+@query("jsn1_state_json", "SELECT event_id, user_id, event_type FROM events")
+def jsn1_state_json(spark, sf_dir):
+    """JSN1, SNK10: to JSON and back."""
+    from kinseq.sources.writers import state_json
+
+    rows = state_json(c.read(spark, sf_dir, "events").select("event_id", "user_id", "event_type"))
+    return rows.select(F.from_json("value", "event_id long, user_id long, event_type string").alias("r")).select("r.*")
