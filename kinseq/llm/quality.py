@@ -192,7 +192,11 @@ class Network:
 def fit(features: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", most: int = MAX_LABELS) -> Network | None:
     """``features(doc_id, features)`` and labels of training rows; at most ``most`` are fetched."""
     rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    joined = features.join(rows, "doc_id").select("doc_id", "features", "label").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    joined = features.join(rows, "doc_id").select("doc_id", "features", "label")
+    n = joined.count()
+    if n > most:  # a little more than asked for by hash, so that what is sorted and sent stays bounded
+        joined = joined.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * 1.1 * most / n) + 1)
+    joined = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     got = joined.toPandas()
     if not len(got) or got.label.nunique() < 2:
         return None
