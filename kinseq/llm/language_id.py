@@ -27,7 +27,7 @@ from kinseq.llm.common import mix64, small_batches, string_buffers, sum_rows
 BUCKET_BITS, WIDTH, SMOOTH = 15, 64, 0.25
 ITERATIONS, PENALTY, MOST_SET = 8, 2.0, 3
 _CHUNK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-z]")
 
 _CODES = np.zeros(256, dtype=np.uint64)
 _CODES[97:123] = np.arange(97, 123)
@@ -35,6 +35,10 @@ _CODES[65:91] = np.arange(97, 123)
 _CODES[128:] = np.arange(128, 256)
 
 
+def has_letter(text: str | None) -> bool:
+    return text is not None and (_LATIN.search(text) is not None or any(map(str.isalpha, text)))
+
+
 def trigrams(raw: np.ndarray, offs: np.ndarray):
     """(bucket of each letter's trigram, word of each letter, first letter of each word, text of each word)."""
     codes = _CODES[raw]
@@ -143,7 +147,7 @@ def _predict(langs: list[str], model):
             for at, raw, offs in _chunks(batch.column(1), most):
                 best, score = infer(raw, offs, table)
                 for i, (b, s) in enumerate(zip(best.tolist(), score.tolist(), strict=True)):
-                    known = b >= 0 and _LETTER.search(texts[at + i] or "") is not None
+                    known = b >= 0 and has_letter(texts[at + i])
                     names.append(langs[b] if known else "und")
                     scores.append(s if known else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
