@@ -36,6 +36,8 @@ ARTICLE_NAMES = re.compile(r"(?<![a-z])(?:article|articlebody|article-body|artic
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+[^<>]*+)>""", re.DOTALL)
 _NAMES = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+# Compounds that name a part of the article, not of the page around it.
+_ARTICLE_PARTS = re.compile(r"(?:article|entry|post|story|page)[-_]?_?(?:header|head|title|headline|foot(?=note))")
 _HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "article", "furniture")
@@ -145,6 +147,7 @@ TREE = Tree(LABELLED[:, :-1], LABELLED[:, -1])
 def _marks(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
     """(furniture, article) of a container by its element and the names it carries."""
     names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower() if "=" in attributes else ""
+    names = _ARTICLE_PARTS.sub(" ", names)
     furniture = name in FURNITURE or (name == "header" and not inside_article)
     article = name in ("article", "main")
     if names and name not in ("body", "article", "main"):
@@ -162,14 +165,14 @@ def blocks(page: str) -> list[tuple[str, int, float, bool, bool, bool]]:
     out: list = []
     parts: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]
-    state = {"link": 0, "heading": False}
+    state = {"link": 0, "heading": False, "furniture": False}
 
     def close() -> None:
         text = " ".join("".join(t for t, _ in parts).split())
         if text:
             linked = sum(len(t.split()) for t, in_link in parts if in_link)
             words = len(text.split())
-            out.append((text, words, min(1.0, linked / words), state["heading"], stack[-1][1], stack[-1][2]))
+            out.append((text, words, min(1.0, linked / words), state["heading"], stack[-1][1], stack[-1][2] or state["furniture"]))
         parts.clear()
 
     at, end = 0, len(page)
@@ -198,7 +201,10 @@ def blocks(page: str) -> list[tuple[str, int, float, bool, bool, bool]]:
                 state["heading"] = not closing
             elif not closing:
                 state["heading"] = False
-            if name in CONTAINERS:
+            if name not in CONTAINERS:  # a paragraph or heading speaks for itself alone
+                state["furniture"] = not closing and bool(attributes.strip()) and _marks(name, attributes, stack[-1][1])[0]
+            else:
+                state["furniture"] = False
                 state["link"] = 0
                 if closing:
                     for k in range(len(stack) - 1, 0, -1):

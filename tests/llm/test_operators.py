@@ -239,6 +239,15 @@ def test_other_page_layouts():
     assert main_text(page) == "Title\n\nFirst with a link and text that goes on for a while.\n\nShort.\n\nOne item"
 
 
+def test_marks_of_single_blocks():
+    from kinseq.llm.html_text import main_text
+
+    page = """<nav><a href=x>Home</a></nav><main><article class="post"><header class="entry-header"><h1>My title</h1><p class="byline">By me</p></header>
+    <p>First para with many words in it for sure.</p><p class="notice">This notice is not part of it.</p><p hidden>secret</p><aside>A box.</aside><p>Last.</p></article>
+    <section class="comments-area"><article class="comment"><p>A reader says this long thing about the text above.</p></article></section></main>"""
+    assert main_text(page) == "My title\n\nFirst para with many words in it for sure.\n\nLast."
+
+
 def test_line_templates(spark):
     from kinseq.llm.template_lines import drop_template_lines
 
