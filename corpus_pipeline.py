@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import crc_mod, materialise, one_row_per_id, table, without
+from kinseq.llm.common import crc_mod, drop_path, materialise, one_row_per_id, table, without
 from kinseq.llm.decontaminate import leaks
 from kinseq.llm.ngram_join import near_duplicates
 from kinseq.llm.quality import keep_good
@@ -65,6 +65,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name.split()[0].lower())
+        if k:
+            drop_path(spark, before._path)
     return STAGES[-1][1](spark, docs, sf_dir)

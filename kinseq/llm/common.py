@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,37 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Paths written inside the open ``temporary_tables`` blocks, innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables written inside the block go when it ends, but for those written with ``keep``."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut and a lost
-    executor costs nothing that is already written."""
+    executor costs nothing that is already written.  ``keep``: for the block around this one."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/kinseq/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if len(_OPEN) > keep:
+        _OPEN[-1 - keep].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,7 +271,9 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     e, last = edges.filter("a <> b").select("a", "b").distinct(), None
     for _ in range(rounds):
-        e = materialise(star(star(e, True), False), "star")
+        before, e = e, materialise(star(star(e, True), False), "star")
+        if last is not None:  # the step before is written: the one before that is done with
+            drop_path(e.sparkSession, before._path)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(now) == last:
             break

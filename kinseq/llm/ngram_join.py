@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import connected_components, materialise, shingles, small_batches, string_buffers, word_hashes
+from kinseq.llm.common import connected_components, materialise, shingles, small_batches, string_buffers, temporary_tables, word_hashes
 
 SHINGLE, NUM, DEN = 5, 80, 100
 #: Cells of the count sketch: its size, and so what is broadcast, never changes.
@@ -208,7 +208,14 @@ def _verify(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
+    """(doc_id, n_shingles, component_id): one row per row of ``docs``.
+
+    The result is a written table; what led to it is removed."""
+    with temporary_tables(docs.sparkSession):
+        return materialise(_components(docs, id_col, text_col, num, den), "components", keep=True)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
