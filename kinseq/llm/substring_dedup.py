@@ -120,6 +120,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.drop("n_units", "removed")
     owned = materialise(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_digests(kind, min_unit), "doc_id long, digest long"), "digests")
     shared = owned.groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").select("digest", "keeper")
+    shared = materialise(shared, "shared")  # read back, it is shuffled like the other side, and AQE can split hot digests
     gone = owned.join(shared, "digest").filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set(F.struct("digest", "keeper")).alias("_gone"))
     keyed = docs.withColumn("_owner", F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)))
     joined = keyed.join(gone.withColumnRenamed("doc_id", "_owner"), "_owner", "left").select(*docs.columns, "_owner", "_gone")
