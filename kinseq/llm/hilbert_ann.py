@@ -86,7 +86,7 @@ def _order(projection):
             x = _matrix(batch.column(1))
             for c in range(len(p.turns)):
                 keys = p.keys(x, c).astype(np.int64) if len(x) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(keys), *batch.columns], names=["curve", "key", "rep", "embedding", "is_query"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(keys), batch.column(0), batch.column(2)], names=["curve", "key", "rep", "is_query"])
 
     return run
 
@@ -121,7 +121,9 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 10, id_col: str = "
     spark = vectors.sparkSession
     small_batches(spark, 10_000)
     v = F.col("embedding")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"), queries.alias("asks"))
+    # floats stay floats on the way (half the bytes); all arithmetic is on their exact doubles
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("embedding"), queries.alias("asks"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = rows.filter(F.col("vec_id").isNotNull() & v.isNotNull() & F.coalesce(fine, F.lit(False)))
     sizes = rows.groupBy(F.size(v).alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -139,13 +141,14 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 10, id_col: str = "
     projection = spark.sparkContext.broadcast(Projection(np.array(sample.embedding.tolist(), dtype=np.float64), curves))
 
     parts = max(8, -(-n * curves // 100_000))
-    keyed = reps.select("rep", "embedding", "is_query").mapInArrow(_order(projection), "curve int, key long, rep long, embedding array<double>, is_query boolean")
+    keyed = reps.select("rep", "embedding", "is_query").mapInArrow(_order(projection), "curve int, key long, rep long, is_query boolean")
     ordered = keyed.repartitionByRange(parts, "curve", "key", "rep").sortWithinPartitions("curve", "key", "rep")
     ordered = materialise(ordered.withColumn("pid", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "ordered")
     starts = ordered.groupBy("curve", "pid").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
     before = F.sum("rows").over(Window.partitionBy("curve").orderBy("pid")) - F.col("rows")
     starts = starts.select("curve", "pid", (F.col("first") - before).alias("shift"))  # a row for each partition
-    placed = ordered.join(F.broadcast(starts), ["curve", "pid"]).withColumn("pos", F.col("at") - F.col("shift"))
+    placed = ordered.join(F.broadcast(starts), ["curve", "pid"]).select("curve", "rep", "is_query", (F.col("at") - F.col("shift")).alias("pos"))
+    placed = placed.join(reps.select("rep", "embedding"), "rep")  # only now the vectors, once a curve
     half = max(LEAST, int(window * n))
     blocks = placed.select("curve", F.floor(F.col("pos") / BLOCK).alias("block"), "rep", "embedding")
     reach = F.sequence(F.floor(F.greatest(F.col("pos") - half, F.lit(0)) / BLOCK), F.floor(F.least(F.col("pos") + half, F.lit(n - 1)) / BLOCK))
