@@ -45,6 +45,22 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D ]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM t),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS m, b.n AS n, count(*) AS c FROM flat a JOIN flat b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair WHERE 100 * c >= 80 * (m + n - c)),
+sides AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(x, y) AS (SELECT x, y FROM sides UNION SELECT r.x, b.y FROM reach r JOIN sides b ON r.y = b.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id FROM sets LEFT JOIN low ON doc_id = x
+"""
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinseq.llm.lm_score import score_texts
 
@@ -165,5 +181,6 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_ngram_jaccard_join": OP2_SQL,
     "op8_line_dedup": OP8_SQL,
 }
