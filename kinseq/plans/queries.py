@@ -177,8 +177,8 @@ def win4_arm_angle_locf(spark, sf_dir):
 
 @query(
     "win5_cyclic_pad",
-    f"""WITH {c.FRAMES}, n AS (SELECT clip_id, max(frame_idx) + 1 AS l FROM frames GROUP BY clip_id)
-SELECT n.clip_id, CAST(i AS INTEGER) AS frame_idx, f.value FROM n, range(96) r(i) JOIN frames f ON f.clip_id = n.clip_id AND f.frame_idx = i % n.l""",
+    f"""WITH {c.FRAMES}, n AS (SELECT clip_id, list(value ORDER BY frame_idx) AS v FROM frames GROUP BY clip_id), r AS (SELECT clip_id, v, unnest(range(96)) AS i FROM n)
+SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, v[CAST(i % len(v) AS INTEGER) + 1] AS value FROM r""",
 )
 def win5_cyclic_pad(spark, sf_dir):
     return sq.pad_frames(c.frames(spark, sf_dir).select("clip_id", "frame_idx", "value"), ["clip_id"], "frame_idx", 96)
@@ -199,8 +199,8 @@ def win5_pad_packed(spark, sf_dir):
 
 @query(
     "win6_even_sample",
-    """WITH n AS (SELECT conv_id, CAST(count(*) AS INTEGER) AS l FROM conversations GROUP BY conv_id)
-SELECT conv_id, CAST(i AS INTEGER) AS k, CAST(floor(i * (l - 1) / greatest(least(l, 3) - 1, 1)) AS INTEGER) AS turn FROM n, range(3) r(i) WHERE i < least(l, 3)""",
+    """WITH n AS (SELECT conv_id, CAST(count(*) AS INTEGER) AS l FROM conversations GROUP BY conv_id), r AS (SELECT conv_id, l, unnest(range(least(l, 3))) AS i FROM n)
+SELECT conv_id, CAST(i AS INTEGER) AS k, CAST(floor(i * (l - 1) / greatest(least(l, 3) - 1, 1)) AS INTEGER) AS turn FROM r""",
 )
 def win6_even_sample(spark, sf_dir):
     n = c.read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").cast("int").alias("l"))
@@ -794,8 +794,9 @@ def udf2_score_stub(spark, sf_dir):
 def _chain_sql() -> str:
     inner = _anchor_sql("no").replace("WITH ", "", 1).replace(", 6) AS", ", 12) AS")
     head, _, tail = inner.rpartition("\nSELECT ")
-    return f"""WITH {head}, done AS (SELECT {tail}), n AS (SELECT clip_id, max(frame_idx) + 1 AS l FROM done GROUP BY clip_id)
-SELECT n.clip_id, CAST(i AS INTEGER) AS frame_idx, round(d."leftShoulder_x" - 0.5, 5) AS sx, round(d.nose_x - 0.5, 5) AS nx FROM n, range(40) r(i) JOIN done d ON d.clip_id = n.clip_id AND d.frame_idx = i % n.l"""
+    return f"""WITH {head}, done AS (SELECT {tail}), n AS (SELECT clip_id, list("leftShoulder_x" ORDER BY frame_idx) AS s, list(nose_x ORDER BY frame_idx) AS x FROM done GROUP BY clip_id),
+r AS (SELECT *, unnest(range(40)) AS i FROM n)
+SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, round(s[CAST(i % len(s) AS INTEGER) + 1] - 0.5, 5) AS sx, round(x[CAST(i % len(x) AS INTEGER) + 1] - 0.5, 5) AS nx FROM r"""
 
 
 @query("udf1_transformer_chain", _chain_sql())
@@ -823,8 +824,8 @@ def udf1_training_chain(spark, sf_dir):
 @query(
     "udf1_graph_chain",
     """WITH e AS (SELECT label AS clip_id, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INTEGER) AS frame_idx, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-n AS (SELECT clip_id, max(frame_idx) + 1 AS l FROM e GROUP BY clip_id),
-p AS (SELECT n.clip_id, CAST(i AS INTEGER) AS frame_idx, e.v FROM n, range(30) r(i) JOIN e ON e.clip_id = n.clip_id AND e.frame_idx = i % n.l),
+n AS (SELECT clip_id, list(v ORDER BY frame_idx) AS vs FROM e GROUP BY clip_id), r AS (SELECT *, unnest(range(30)) AS i FROM n),
+p AS (SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, vs[CAST(i % len(vs) AS INTEGER) + 1] AS v FROM r),
 b AS (SELECT clip_id, frame_idx, v[1] AS j0, v[2] - v[1] AS j1, v[4] - v[2] AS j3 FROM p),
 m AS (SELECT clip_id, frame_idx, coalesce(lead(j0) OVER w - j0, 0) AS j0, coalesce(lead(j1) OVER w - j1, 0) AS j1, coalesce(lead(j3) OVER w - j3, 0) AS j3 FROM b WINDOW w AS (PARTITION BY clip_id ORDER BY frame_idx))
 SELECT clip_id, frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(j0) OVER c, 5) AS j3 FROM m WINDOW c AS (PARTITION BY clip_id)""",
