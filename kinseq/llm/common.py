@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -65,10 +66,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound what one Arrow batch of long texts can hold in a Python worker; send the code there."""
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def _return_memory() -> None:
+    """Let the C library give freed arrays back at once: workers are kept from task to task, and
+    glibc would hold on to more with each larger array it has seen."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_return_memory()
 
 
 # --------------------------------------------------------------------------- bytes and words

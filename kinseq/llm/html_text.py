@@ -239,5 +239,5 @@ def _extract(batches):
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    small_batches(pages.sparkSession, 1000)
+    small_batches(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
