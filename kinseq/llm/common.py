@@ -73,19 +73,20 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def _return_memory() -> None:
-    """Let the C library give freed arrays back at once: workers are kept from task to task, and
-    glibc would hold on to more with each larger array it has seen."""
+def return_memory(above: int = 1 << 20) -> None:
+    """Let the C library give freed arrays of so many bytes back at once: workers are kept from task to
+    task, and glibc would hold on to more with each larger array it has seen.  A worker that makes
+    the same arrays for every batch is faster with a higher bound."""
     try:
         libc = ctypes.CDLL("libc.so.6")
-        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
-        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+        libc.mallopt(-3, above)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, above)  # M_TRIM_THRESHOLD
     except (OSError, AttributeError):  # another C library
         return
     pa.set_memory_pool(pa.system_memory_pool())
 
 
-_return_memory()
+return_memory()
 
 
 # --------------------------------------------------------------------------- bytes and words
