@@ -2,8 +2,11 @@
 
 Tokens are runs of letters, of digits or of other marks; each also has a shape (its kind, case,
 length class and, for marks, which).  Every token and shape has a fixed sparse ternary index
-vector; a token's word vector sums, over *all* rows, the index vectors of its neighbours (window
-of ``WINDOW`` each side), centred, scaled to unit length and joined to its own index vector.
+vector, a token's drawn from its whole 64-bit hash, so no two words share sums; a token's word vector
+sums, over *all* rows, the index vectors of its neighbours (window of ``WINDOW`` each side), centred,
+scaled to unit length (kept to a byte a place) and joined to its own index vector.
+Groups of texts send their words' sums to blocks of hashes, where they are added up over the corpus,
+and get the vectors of just their words back; there is no table of all words anywhere.
 A text's features are the means of its tokens' and of its shapes' vectors and its size.  The network
 (one hidden layer of tanh, numpy, Adam) is fitted on at most ``MAX_LABELS`` labelled training rows
 (all when there are fewer; chosen by hash of the id otherwise); a temperature fitted on a tenth of
@@ -16,17 +19,25 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+import zlib
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import _POWERS, _byte_values, materialise, mix64, small_batches, string_buffers, sum_rows
+from kinseq.llm.common import _POWERS, BROADCAST_IDS, _byte_values, drop_path, materialise, mix64, small_batches, string_buffers
 
-WORDS, SHAPES, DIM, WINDOW, NONZERO = 4096, 64, 32, 2, 4
+SHAPES, DIM, WINDOW, NONZERO = 64, 32, 2, 4
 HIDDEN, EPOCHS, RATE, DECAY, MAX_LABELS = 32, 60, 0.01, 1e-4, 20_000
 THRESHOLD = 0.3
 _CHUNK = 1 << 19
+#: Bytes of text in a group, and characters of all texts for each block of hashes.
+_GROUP, _BLOCK = 1 << 25, 1 << 24
+#: Numbers of the rows that are no block of words.
+TEXTS, OF_SHAPES = -2, -1
 
 #: Kinds of bytes: 0 white space, 1 letters (all of UTF-8's bytes above 127), 2 digits, 3 others.
 _KIND = np.full(256, 3, dtype=np.int8)
@@ -37,17 +48,22 @@ _UPPER = np.zeros(256, dtype=np.int64)
 _UPPER[65:91] = 1
 
 
-def index_vectors() -> np.ndarray:
-    """Fixed sparse ternary vectors of all words and shapes."""
-    rng = np.random.default_rng(20240229)
-    out = np.zeros((WORDS + SHAPES, DIM), dtype=np.float32)
-    for row in out:
-        row[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
+def index_vectors(keys: np.ndarray) -> np.ndarray:
+    """[keys, DIM]: a fixed sparse ternary vector of each 64-bit key, from the key alone."""
+    out, rows, chosen = np.zeros((len(keys), DIM), dtype=np.int8), np.arange(len(keys)), []
+    for j in range(NONZERO):  # Floyd's draw of NONZERO different places
+        draw = mix64(keys * np.uint64(NONZERO) + np.uint64(j) + np.uint64(0x9E3779B97F4A7C15))
+        last = DIM - NONZERO + j
+        at = ((draw >> np.uint64(1)) % np.uint64(last + 1)).astype(np.int64)
+        for before in chosen:
+            at = np.where(at == before, last, at)
+        chosen.append(at)
+        out[rows, at] = 1 - 2 * (draw & np.uint64(1)).astype(np.int8)
     return out
 
 
 def tokens(raw: np.ndarray, offs: np.ndarray):
-    """(word bucket, shape, text) of each token."""
+    """(64-bit hash of the word, shape, text) of each token."""
     if not len(raw):
         return (np.zeros(0, np.int64),) * 3
     kind = _KIND[raw]
@@ -63,7 +79,7 @@ def tokens(raw: np.ndarray, offs: np.ndarray):
     size, of = ends - starts, kind[starts]
     up, down = _POWERS.get(len(raw) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values(True)[raw] * up[: len(raw)])])
-    word = (mix64((sums[ends] - sums[starts]) * down[starts] + size.astype(np.uint64)) % np.uint64(WORDS)).astype(np.int64)
+    word = mix64((sums[ends] - sums[starts]) * down[starts] + size.astype(np.uint64))
     capitals = np.concatenate([[0], np.cumsum(_UPPER[raw])])
     capitals = capitals[ends] - capitals[starts]
     length = np.minimum(size, 4) - 1
@@ -86,71 +102,175 @@ def _chunks(column: pa.Array):
         at = stop
 
 
-def _contexts(batches):
-    by_dim, total = index_vectors().T.copy(), np.zeros((DIM + 1, WORDS + SHAPES))
-    for batch in batches:
-        for raw, offs in _chunks(batch.column(0)):
-            word, shape, text = tokens(raw, offs)
-            if not len(word):
-                continue
-            same = [(text[d:] == text[:-d]).astype(np.float32) for d in range(1, WINDOW + 1)]
-            for ids in (word, WORDS + shape):
-                total[DIM] += np.bincount(ids, minlength=WORDS + SHAPES)
-            for j in range(DIM):
-                own = by_dim[j][word] + by_dim[j][WORDS + shape]
-                around = np.zeros(len(own), dtype=np.float32)
-                for d, near in enumerate(same, 1):
-                    around[d:] += own[:-d] * near
-                    around[:-d] += own[d:] * near
-                for ids in (word, WORDS + shape):
-                    total[j] += np.bincount(ids, weights=around, minlength=WORDS + SHAPES)
-    total = total.T.copy()
-    some = np.flatnonzero(total[:, DIM])
-    flat = pa.array(total[some].reshape(-1), pa.float64())
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * (DIM + 1), pa.int32()), flat)], names=["word", "sums"])
-
-
-def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """[words and shapes, 2 * DIM]: context part, own index part.  Of fixed size."""
-    rows = docs.select(text_col).mapInArrow(_contexts, "word int, sums array<double>")
-    total = np.zeros((WORDS + SHAPES, DIM + 1))
-    for r in sum_rows(rows, ["word"], "sums", DIM + 1).collect():
-        total[r.word] = r.sums
-    mean = total[:, :DIM].sum(axis=0) / max(1.0, total[:, DIM].sum())
-    context = total[:, :DIM] - total[:, DIM :] * mean
-    context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-12)
-    return np.concatenate([context, index_vectors() / np.sqrt(NONZERO)], axis=1).astype(np.float32)
-
-
-def pooled(raw: np.ndarray, offs: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """[texts, 4 * DIM + 1]"""
-    out = np.zeros((len(offs) - 1, 4 * DIM + 1), dtype=np.float32)
-    word, shape, text = tokens(raw, offs)
-    if len(word):
-        owner, first = np.unique(text, return_index=True)
-        count = np.diff(np.append(first, len(text)))[:, None]
-        for at in range(0, len(owner), 128):  # counts of words and shapes by text, times their vectors
-            lo, hi = first[at], first[at + 128] if at + 128 < len(first) else len(text)
-            local, n = np.searchsorted(owner[at : at + 128], text[lo:hi]), min(128, len(owner) - at)
-            rows = owner[at : at + 128]
-            for ids, size, base, to in ((word, WORDS, 0, 0), (shape, SHAPES, WORDS, 2 * DIM)):
-                table = np.bincount(local * size + ids[lo:hi], minlength=n * size).reshape(n, size).astype(np.float32)
-                out[rows, to : to + 2 * DIM] = table @ vectors[base : base + size] / count[at : at + 128]
-        out[owner, 4 * DIM] = np.log1p(count[:, 0]) / 10
-    return out
+def _pack(*arrays) -> bytes:
+    return zlib.compress(pickle.dumps(arrays, protocol=5), 1)
+
+
+def _unpack(data: bytes):
+    return pickle.loads(zlib.decompress(data))
+
+
+def _sums(keys: np.ndarray, rows: np.ndarray, kind=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their rows."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(rows[order], first, axis=0, dtype=kind) if len(first) else rows
+
+
+class _Group:
+    """What is known of about ``_GROUP`` bytes of texts before any vector is."""
+
+    def __init__(self) -> None:
+        self.bytes, self.texts, self.pending, self.tokens = 0, [], [], np.zeros(0, np.uint64)
+        self.sums, self.shapes = np.zeros((0, DIM + 1), np.int32), np.zeros((SHAPES, DIM + 1), np.int64)
+
+    def add(self, raw: np.ndarray, offs: np.ndarray, ids: list, keys: list) -> None:
+        n = len(offs) - 1
+        word, shape, text = tokens(raw, offs)
+        distinct, local = np.unique(word.astype(np.uint64), return_inverse=True)
+        index, of_shape = index_vectors(distinct).astype(np.float32), index_vectors(np.arange(SHAPES, dtype=np.uint64)).astype(np.float32)
+        sums, shapes = np.zeros((DIM + 1, len(distinct))), np.zeros((DIM + 1, SHAPES))
+        sums[DIM], shapes[DIM] = np.bincount(local, minlength=len(distinct)), np.bincount(shape, minlength=SHAPES)
+        same = [(text[d:] == text[:-d]).astype(np.float32) for d in range(1, WINDOW + 1)]
+        for j in range(DIM):
+            own = index[:, j][local] + of_shape[:, j][shape]
+            around = np.zeros(len(own), dtype=np.float32)
+            for d, near in enumerate(same, 1):
+                around[d:] += own[:-d] * near
+                around[:-d] += own[d:] * near
+            sums[j] = np.bincount(local, weights=around, minlength=len(distinct))
+            shapes[j] = np.bincount(shape, weights=around, minlength=SHAPES)
+        self.shapes += np.rint(shapes).astype(np.int64).T
+        self.pending.append((distinct, np.rint(sums).astype(np.int32).T))
+        if len(self.pending) == 8:
+            self._merge()
+        pairs, times = np.unique(text * max(1, len(distinct)) + local, return_counts=True)
+        owner, place = np.divmod(pairs, max(1, len(distinct)))
+        starts = np.searchsorted(owner, np.arange(n + 1))
+        own = _by_text(index, place, times, starts).astype(np.int32)
+        by_shape = np.bincount(text * SHAPES + shape, minlength=n * SHAPES).reshape(n, SHAPES).astype(np.int32)
+        self.texts.append((ids, keys, distinct, place.astype(np.int32), times.astype(np.int32), np.diff(starts), own, by_shape))
+        self.bytes += len(raw)
+
+    def _merge(self) -> None:
+        parts = [(self.tokens, self.sums), *self.pending]
+        self.tokens, self.sums = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        self.pending = []
+
+    def rows(self, group: int, bits: int):
+        """(group, block, data): the texts, the sums of shapes, and those of words by block of hashes."""
+        self._merge()
+        ids, keys = [i for t in self.texts for i in t[0]], [k for t in self.texts for k in t[1]]
+        place = [np.searchsorted(self.tokens, t[2]).astype(np.int32)[t[3]] for t in self.texts]
+        columns = [np.concatenate([t[c] for t in self.texts]) for c in range(4, 8)]
+        yield group, TEXTS, _pack(ids, keys, np.concatenate(place), *columns)
+        yield group, OF_SHAPES, _pack(self.shapes)
+        bounds = np.searchsorted(self.tokens >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        for block in range(1 << bits):
+            a, b = bounds[block : block + 2]
+            if a < b:
+                few = np.abs(self.sums[a:b]).max(axis=1) < 128  # most words are rare: a byte a sum
+                yield group, block, _pack(self.tokens[a:b], few, self.sums[a:b][few].astype(np.int8).T.copy(), self.sums[a:b][~few].T.copy())
+
+
+def _tally(bits: int):
+    def run(batches):
+        context = TaskContext.get()
+        number, held = (context.partitionId() if context else 0) << 32, _Group()
 
+        def out():
+            for g, block, data in held.rows(number, bits):
+                yield pa.RecordBatch.from_arrays([pa.array([g]), pa.array([block]), pa.array([data], pa.binary())], names=["grp", "block", "data"])
 
-def _pool(model):
-    def run(batches):
-        vectors = model.value
         for batch in batches:
-            parts = [pooled(raw, offs, vectors) for raw, offs in _chunks(batch.column(1))]
-            flat = np.concatenate(parts) if parts else np.zeros((0, 4 * DIM + 1), np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in flat], pa.binary())], names=["doc_id", "features"])
+            ids, keys, at = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
+            for raw, offs in _chunks(batch.column(2)):
+                held.add(raw, offs, ids[at : at + len(offs) - 1], keys[at : at + len(offs) - 1])
+                at += len(offs) - 1
+                if held.bytes >= _GROUP:
+                    yield from out()
+                    number, held = number + 1, _Group()
+        if held.texts:
+            yield from out()
+
+    return run
+
+
+def _contexts(sums: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Context vectors, centred and of unit length."""
+    context = sums[:, :DIM] - sums[:, DIM:] * mean
+    return context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-12)
+
+
+def _word_vectors(mean: np.ndarray):
+    """The whole corpus's vectors of one block's words, for each group in its own order."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        parts = []
+        for data in rows["data"].to_pylist():
+            words, few, small, large = _unpack(data)
+            sums = np.empty((len(words), DIM + 1), np.int32)
+            sums[few], sums[~few] = small.T, large.T
+            parts.append((words, sums))
+        distinct, total = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.int64)
+        vectors = np.rint(127 * _contexts(total, mean)).astype(np.int8)
+        back = [_pack(vectors[np.searchsorted(distinct, words)].T.copy()) for words, _ in parts]
+        return pa.table({"grp": rows["grp"], "block": rows["block"], "data": pa.array(back, pa.binary())})
+
+    return run
+
+
+def _by_text(vectors: np.ndarray, place: np.ndarray, times: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """[texts, DIM]: sums of the vectors of each text's words."""
+    out, at, texts = np.zeros((len(starts) - 1, DIM), dtype=np.float32), 0, len(starts) - 1
+    while at < texts:
+        stop = max(at + 1, int(np.searchsorted(starts, starts[at] + 100_000, "right")) - 1)
+        lo, hi = starts[at], starts[stop]
+        some = at + np.flatnonzero(np.diff(starts[at : stop + 1]))
+        if len(some):
+            out[some] = np.add.reduceat(vectors[place[lo:hi]].astype(np.float32) * times[lo:hi, None].astype(np.float32), starts[some] - lo, axis=0)
+        at = stop
+    return out
+
+
+def _pool(shape_vectors: np.ndarray):
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        order = np.argsort(words["block"].to_numpy()) if len(words) else []
+        parts = words["data"].to_pylist() if len(words) else []
+        vectors = np.concatenate([_unpack(parts[i])[0].T for i in order] or [np.zeros((0, DIM), np.int8)])
+        ids, keys, flat = [], [], []
+        for data in texts["data"].to_pylist():
+            mine, key, place, times, sizes, own, by_shape = _unpack(data)
+            count = np.maximum(by_shape.sum(axis=1), 1)[:, None].astype(np.float32)
+            context = _by_text(vectors, place, times, np.append(0, np.cumsum(sizes))) / np.float32(127)
+            x = np.concatenate([context / count, own / np.float32(np.sqrt(NONZERO)) / count, by_shape.astype(np.float32) @ shape_vectors / count, np.log1p(by_shape.sum(axis=1))[:, None] / 10], axis=1).astype(np.float32)
+            ids, keys, flat = ids + mine, keys + key, flat + [r.tobytes() for r in x]
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "features": pa.array(flat, pa.binary())})
 
     return run
 
 
+def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, features) of every row, written; ``key`` is the text's xxhash64."""
+    size = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    bits = max(5, int(size // _BLOCK).bit_length())  # blocks of hashes grow in number, not in size
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), text_col)
+    tallied = materialise(rows.mapInArrow(_tally(bits), "grp long, block long, data binary"), "tallied")
+    sums = np.zeros((SHAPES, DIM + 1))
+    for r in tallied.filter(F.col("block") == OF_SHAPES).select("data").toLocalIterator():
+        sums += _unpack(r.data)[0]
+    mean = sums[:, :DIM].sum(axis=0) / max(1.0, sums[:, DIM].sum())
+    own = index_vectors(np.arange(SHAPES, dtype=np.uint64)) / np.sqrt(NONZERO)
+    shape_vectors = np.concatenate([_contexts(sums, mean), own], axis=1).astype(np.float32)
+    words = tallied.filter("block >= 0").groupBy("block").applyInArrow(_word_vectors(mean), "grp long, block long, data binary")
+    texts = tallied.filter(F.col("block") == TEXTS)
+    out = texts.groupBy("grp").cogroup(words.groupBy("grp")).applyInArrow(_pool(shape_vectors), "doc_id long, key long, features binary")
+    out = materialise(out, "pooled")
+    drop_path(docs.sparkSession, tallied._path)
+    return out
+
+
 class Network:
     """Two layers and a temperature."""
 
@@ -217,35 +337,24 @@ def _score(model):
 
 
 def _train(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str):
-    """(broadcast word vectors, written features, network)"""
-    spark = docs.sparkSession
-    small_batches(spark)
-    vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col))
-    features = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(_pool(vectors), "doc_id long, features binary")
-    features = materialise(features, "pooled")
-    return vectors, features, fit(features, labels.filter(training), label_col, id_col)
+    """(written features, broadcast network)"""
+    small_batches(docs.sparkSession)
+    features = text_features(docs, id_col, text_col)
+    net = fit(features, labels.filter(training), label_col, id_col)
+    return features, docs.sparkSession.sparkContext.broadcast(net)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """(doc_id, score) of every row; ``training`` is a condition on the label rows."""
-    _, features, net = _train(docs, labels, training, id_col, text_col, label_col)
-    return features.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(net)), "doc_id long, score double")
-
-
-def _keep(vectors_of, net_of, text_at: int, threshold: float):
-    def run(batches):
-        vectors, net = vectors_of.value, net_of.value
-        for batch in batches:
-            x = [pooled(raw, offs, vectors) for raw, offs in _chunks(batch.column(text_at))]
-            x = np.concatenate(x) if x else np.zeros((0, 4 * DIM + 1))
-            s = net.score(x.astype(np.float64)) if net is not None else np.full(len(x), 0.5)
-            yield batch.filter(pa.array(s >= threshold))
-
-    return run
+    features, net = _train(docs, labels, training, id_col, text_col, label_col)
+    return features.select("doc_id", "features").mapInArrow(_score(net), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, all columns kept; no shuffle of texts."""
-    vectors, _, net = _train(docs, labels, training, id_col, text_col, label_col)
-    net = docs.sparkSession.sparkContext.broadcast(net)
-    return docs.mapInArrow(_keep(vectors, net, docs.columns.index(text_col), threshold), docs.schema)
+    """The rows of ``docs`` that score at least ``threshold``, all columns kept.  A score belongs to a
+    text, so the texts that are rejected go by their keys."""
+    features, net = _train(docs, labels, training, id_col, text_col, label_col)
+    scored = features.select(F.col("key").alias("doc_id"), "features").mapInArrow(_score(net), "doc_id long, score double")
+    bad = materialise(scored.filter(F.col("score") < threshold).select(F.col("doc_id").alias("_key")).distinct(), "rejected")
+    gone = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
+    return docs.withColumn("_key", F.xxhash64(text_col)).join(gone, "_key", "left_anti").select(*docs.columns)
