@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import crc_mod, drop_path, materialise, one_row_per_id, table, without
+from kinseq.llm.common import crc_mod, drop_path, materialise, table, with_row_keys, without
 from kinseq.llm.decontaminate import leaks
 from kinseq.llm.ngram_join import near_duplicates
 from kinseq.llm.quality import keep_good
@@ -33,10 +33,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each component of near duplicates stays."""
-    found = near_duplicates(docs)
-    gone = materialise(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    return one_row_per_id(without(docs, gone))
+    """The smallest id of each component of near duplicates stays.  Components are of rows, so texts
+    that only share an id are judged apart, and copies without an id go like others."""
+    rows = with_row_keys(docs, "_row")
+    found = near_duplicates(rows, "_row")
+    gone = materialise(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_row")).distinct(), "gone")
+    return without(rows, gone, "_row").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -311,8 +311,26 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
 
 
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row of each id; only rows whose id repeats are shuffled.  Rows without an id stay."""
-    twice = materialise(docs.groupBy(id_col).count().filter(f"count > 1 and {id_col} is not null").select(id_col), "repeated")
-    again = F.broadcast(twice) if twice.count() <= BROADCAST_IDS else twice
-    return without(docs, twice, id_col).unionByName(docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col]))
+#: Row keys from here on are hashes; ids below stand for themselves.
+HASHED_KEYS = 1 << 62
+
+
+def with_row_keys(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each id and text, null ids included, with a ``key`` that no other row has.
+
+    An id is its row's key; of several texts of one id the first by hash has it.  The others, and
+    rows without an id, get a hash of id and text above all ids.  Only rows of repeated or null
+    ids are shuffled."""
+    hashed = F.xxhash64(F.lit(1), id_col, text_col).bitwiseAND(F.lit(HASHED_KEYS - 1)).bitwiseOR(F.lit(HASHED_KEYS))
+    odd = docs.groupBy(id_col).count().filter(f"count > 1 or {id_col} is null or {id_col} >= {HASHED_KEYS}").select(id_col)
+    odd = materialise(odd, "repeated")
+    n = odd.count()
+    if not n:
+        return docs.withColumn(key, F.col(id_col).cast("long"))
+    same = docs[id_col].eqNullSafe(odd[id_col])
+    gone = F.broadcast(odd) if n <= BROADCAST_IDS else odd
+    plain = docs.join(gone, same, "left_anti").withColumn(key, F.col(id_col).cast("long"))
+    rows = materialise(docs.join(gone, same, "left_semi").dropDuplicates([id_col, text_col]).withColumn(key, hashed), "odd")
+    first = rows.filter(F.col(id_col) < HASHED_KEYS).groupBy(id_col).agg(F.min(key).alias("_first"))
+    rows = rows.join(first, id_col, "left").withColumn(key, F.when(F.col(key) == F.col("_first"), F.col(id_col).cast("long")).otherwise(F.col(key)))
+    return materialise(plain.unionByName(rows.select(*docs.columns, key)), "keyed")

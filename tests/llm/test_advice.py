@@ -45,3 +45,16 @@ def test_context_sums_are_of_whole_words():
         near = [own[j] for j in range(max(0, i - 2), min(len(word), i + 3)) if j != i and text[j] == text[i]]
         want[int(word[i])] = want.get(int(word[i]), np.zeros(DIM + 1, int)) + np.append(sum(near, np.zeros(DIM, int)), 1)
     assert sums == {w: v.tolist() for w, v in want.items()}
+
+
+def test_rows_that_only_share_an_id_stay(spark):
+    import corpus_pipeline
+
+    prose = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [(1, prose("a")), (1, prose("b")), (1, prose("b")), (2, prose("b")), (3, prose("c")), (None, prose("c")), (None, prose("d")), (None, prose("d") + " more"), (None, None), (None, None), (4, prose("e")), (4, prose("e"))]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string")
+    out = corpus_pipeline.near_duplicate_removal(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text and r.text[0], r.text and len(r.text.split())) for r in out.collect()]
+    kept = {(i, t) for i, t, _ in got}
+    assert sorted(t or "" for _, t, _ in got) == ["", "a", "b", "c", "d", "e"] and {(1, "a"), (3, "c"), (None, "d"), (None, None), (4, "e")} <= kept
