@@ -48,9 +48,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every document that is left."""
-    out = encode(docs, tokenizer_path())
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """(doc_id, n_tokens, ids, decoded_sha256) of every document that is left: the ids, and the digest
+    of the text they are decoded to again."""
+    out = encode(docs, tokenizer_path(), decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [

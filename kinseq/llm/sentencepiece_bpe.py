@@ -294,7 +294,7 @@ def vocabulary(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
-def _encode_batches(path: str, check: bool):
+def _encode_batches(path: str, check: bool, decoded: bool):
     def run(batches):
         vocab = vocabulary(path)
         for batch in batches:
@@ -305,7 +305,10 @@ def _encode_batches(path: str, check: bool):
                 for k, theirs in enumerate(vocab.library.encode([t or "" for t in texts.to_pylist()], add_bos=True, add_eos=True, num_threads=1)):
                     if lists[k].tolist() != theirs:
                         raise ValueError(f"ids of {batch.column(0)[k]} differ from the library's")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32()))], names=["doc_id", "ids"])
+            columns = {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32()))}
+            if decoded:
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(vocab.library.decode(x.tolist()).encode("utf-8", "surrogatepass")).hexdigest() for x in lists], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -333,10 +336,11 @@ def _digest_batches(path: str):
     return run
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True) -> DataFrame:
-    """(doc_id, ids array<int>), begin and end ids included."""
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>), begin and end ids included; ``decoded`` adds the digest of the text
+    that the ids are decoded to, decoded_sha256."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(_encode_batches(model, check), "doc_id long, ids array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(_encode_batches(model, check, decoded), "doc_id long, ids array<int>" + ", decoded_sha256 string" * decoded)
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

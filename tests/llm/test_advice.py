@@ -47,6 +47,16 @@ def test_context_sums_are_of_whole_words():
     assert sums == {w: v.tolist() for w, v in want.items()}
 
 
+def test_last_stage_decodes_too(spark):
+    import hashlib
+
+    import corpus_pipeline
+
+    texts = {1: "Hello  world", 2: "", 3: "漢字 and\nlines", 4: None}
+    out = corpus_pipeline.encoding(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "")
+    assert {r.doc_id: r.decoded_sha256 for r in out.collect()} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts.items()}
+
+
 def test_rows_that_only_share_an_id_stay(spark):
     import corpus_pipeline
 
