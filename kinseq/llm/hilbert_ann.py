@@ -6,7 +6,8 @@ neither fill windows nor change ties.  A bounded sample of representatives fixes
 takes the Hilbert index of ``DIMS`` coordinates.  Each curve orders *all* representatives by a range
 partitioning; exact positions cut the order into blocks of ``BLOCK`` rows.  A query meets the blocks
 that touch its window (``WINDOW`` of all rows each side, at least ``LEAST``) on every curve; blocks
-return their nearest, which are merged and ranked by the exact Euclidean distance in doubles.
+return their nearest, which are merged and ranked by the exact Euclidean distance in doubles; equal
+distances go by the smallest id of the representative in blocks and merge alike.
 
 How wide the windows must be depends on the vectors: without structure (distances all alike) only
 wide windows reach a recall of 0.9, and the defaults are set for that; clustered vectors need less.
@@ -94,22 +95,26 @@ def _order(projection):
 def _nearest(k: int):
     def run(queries: pa.Table, block: pa.Table) -> pa.Table:
         q, x = _matrix(queries["target"]), _matrix(block["embedding"])
-        q_ids, x_ids = queries["query"].to_numpy(), block["rep"].to_numpy()
-        out_q, out_x, out_d = [], [], []
+        q_ids, x_ids, low = queries["query"].to_numpy(), block["rep"].to_numpy(), block["low"].to_numpy()
+        out_q, out_x, out_l, out_d = [], [], [], []
         square = (x * x).sum(axis=1)
-        spare = min(len(x), 4 * k + 32)
+        last = min(len(x), k) - 1
         for at in range(0, len(q) if len(x) else 0, 256):
             part = q[at : at + 256]
             rough = square[None, :] - 2 * part @ x.T
-            picks = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
-            for i, pick in enumerate(picks):
+            # every row that may be tied with the k-th, up to what rounding can move
+            near = np.partition(rough, last, axis=1)[:, last]
+            slack = 1e-12 * (square.max() + (part * part).sum(axis=1))
+            for i in range(len(part)):
+                pick = np.flatnonzero(rough[i] <= near[i] + slack[i])
                 d = np.sqrt(((x[pick] - part[i]) ** 2).sum(axis=1))
-                best = np.lexsort((x_ids[pick], d))[:k]
+                best = np.lexsort((low[pick], d))[:k]
                 out_q.append(np.full(len(best), q_ids[at + i]))
                 out_x.append(x_ids[pick][best])
+                out_l.append(low[pick][best])
                 out_d.append(d[best])
         empty = np.zeros(0)
-        return pa.table({"query": pa.array(np.concatenate(out_q or [empty]).astype(np.int64)), "rep": pa.array(np.concatenate(out_x or [empty]).astype(np.int64)), "score": pa.array(np.concatenate(out_d or [empty]).astype(np.float64))})
+        return pa.table({"query": pa.array(np.concatenate(out_q or [empty]).astype(np.int64)), "rep": pa.array(np.concatenate(out_x or [empty]).astype(np.int64)), "low": pa.array(np.concatenate(out_l or [empty]).astype(np.int64)), "score": pa.array(np.concatenate(out_d or [empty]).astype(np.float64))})
 
     return run
 
@@ -151,14 +156,14 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 10, id_col: str = "
     before = F.sum("rows").over(Window.partitionBy("curve").orderBy("pid")) - F.col("rows")
     starts = starts.select("curve", "pid", (F.col("first") - before).alias("shift"))  # a row for each partition
     placed = ordered.join(F.broadcast(starts), ["curve", "pid"]).select("curve", "rep", "is_query", (F.col("at") - F.col("shift")).alias("pos"))
-    placed = placed.join(reps.select("rep", "embedding"), "rep")  # only now the vectors, once a curve
+    placed = placed.join(reps.select("rep", "embedding", F.get("ids", F.lit(0)).alias("low")), "rep")  # only now the vectors, once a curve
     half = max(LEAST, int(window * n))
-    blocks = placed.select("curve", F.floor(F.col("pos") / BLOCK).alias("block"), "rep", "embedding")
+    blocks = placed.select("curve", F.floor(F.col("pos") / BLOCK).alias("block"), "rep", "embedding", "low")
     reach = F.sequence(F.floor(F.greatest(F.col("pos") - half, F.lit(0)) / BLOCK), F.floor(F.least(F.col("pos") + half, F.lit(n - 1)) / BLOCK))
     asks = placed.filter("is_query").select(F.col("curve").alias("on_curve"), F.explode(reach).alias("in_block"), F.col("rep").alias("query"), F.col("embedding").alias("target"))
-    found = asks.groupBy("on_curve", "in_block").cogroup(blocks.groupBy("curve", "block")).applyInArrow(_nearest(k + 1), "query long, rep long, score double")
-    near = found.groupBy("query", "rep").agg(F.min("score").alias("score"))
-    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "rep"))).filter(F.col("n") <= 2 * k + 2)
+    found = asks.groupBy("on_curve", "in_block").cogroup(blocks.groupBy("curve", "block")).applyInArrow(_nearest(k + 1), "query long, rep long, low long, score double")
+    near = found.groupBy("query", "rep").agg(F.min("low").alias("low"), F.min("score").alias("score"))
+    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "low"))).filter(F.col("n") <= 2 * k + 2)
     near = near.join(reps.select("rep", F.explode("ids").alias("vec_id")), "rep").select("query", "vec_id", "score")
     who = rows.filter("asks").join(reps.select("rep", "embedding"), "embedding").select(F.col("vec_id").alias("query_id"), F.col("rep").alias("query")).distinct()
     out = who.join(near, "query").filter("query_id <> vec_id").select("query_id", "vec_id", "score")

@@ -47,6 +47,17 @@ def test_context_sums_are_of_whole_words():
     assert sums == {w: v.tolist() for w, v in want.items()}
 
 
+def test_smallest_ids_win_ties(spark):
+    from pyspark.sql import functions as F
+
+    from kinseq.llm.hilbert_ann import nearest_neighbours
+
+    ones = [1.0] * 128
+    rows = [(1000, ones)] + [(i + 1, [0.0 if j == (i * 37) % 128 else 1.0 for j in range(128)]) for i in range(128)]
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 1000, k=10)
+    assert [r.vec_id for r in got.orderBy("rank").collect()] == list(range(1, 11))
+
+
 def test_last_stage_decodes_too(spark):
     import hashlib
 
