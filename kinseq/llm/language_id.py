@@ -5,7 +5,8 @@ all labelled training rows.  A document is a mixture: each word comes from one l
 product of its trigrams' smoothed probabilities.  Expectation-maximisation estimates the
 document's language proportions from its words' likelihoods; the language set is the one whose
 likelihood less ``PENALTY * languages * log(1 + words)`` is largest among the leading one, two,
-... languages, each set re-estimated by EM.  The predicted language leads the chosen set; its
+... up to all languages, each set re-estimated by EM; sizes whose penalty alone is more than the best
+set loses cannot win and are not tried.  The predicted language leads the chosen set; its
 proportion there is the score.
 
 Defined results: texts that are null or have no letter get ``und`` and 0.0; with no training rows
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from kinseq.llm.common import mix64, small_batches, string_buffers, sum_rows
 
 BUCKET_BITS, WIDTH, SMOOTH = 15, 64, 0.25
-ITERATIONS, PENALTY, MOST_SET = 8, 2.0, 3
+ITERATIONS, PENALTY = 8, 2.0
 _CHUNK = 1 << 20
 _LATIN = re.compile("[A-Za-z]")
 
@@ -122,17 +123,23 @@ def infer(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndar
     order = np.argsort(-full, axis=1, kind="stable")
     words = np.diff(np.append(starts, len(owner)))
     top, value, chosen = np.full(len(texts), -np.inf), np.zeros(len(texts)), order[:, 0].copy()
-    for size in range(1, min(k, MOST_SET) + 1):
-        share = np.zeros_like(full)
-        rows = np.arange(len(texts))[:, None]
-        share[rows, order[:, :size]] = full[rows, order[:, :size]] + 1e-6
+    for size in range(1, k + 1):
+        # a word's likelihoods are at most 1, so a set gains at most what the best one has lost
+        open_ = top < -PENALTY * size * np.log1p(words)
+        live = np.flatnonzero(open_)
+        if not len(live):
+            break
+        lead = order[live, :size]
+        share = np.zeros_like(full[live])
+        rows = np.arange(len(live))[:, None]
+        share[rows, lead] = full[live[:, None], lead] + 1e-6
         share /= share.sum(axis=1, keepdims=True)
-        share, ll = _em(like, local, starts, share, 0 if size == 1 else 3)
-        ll = ll - PENALTY * size * np.log1p(words)
-        better = ll > top
-        top = np.where(better, ll, top)
-        chosen = np.where(better, share.argmax(axis=1), chosen)
-        value = np.where(better, share.max(axis=1), value)
+        mine = open_[local]
+        share, ll = _em(like[mine], np.repeat(np.arange(len(live)), words[live]), np.cumsum(words[live]) - words[live], share, 0 if size == 1 else 3)
+        ll = ll - PENALTY * size * np.log1p(words[live])
+        better = ll > top[live]
+        won = live[better]
+        top[won], chosen[won], value[won] = ll[better], share.argmax(axis=1)[better], share.max(axis=1)[better]
     best[texts], score[texts] = chosen, np.clip(value, 0, 1)
     return best, score
 

@@ -47,6 +47,20 @@ def test_context_sums_are_of_whole_words():
     assert sums == {w: v.tolist() for w, v in want.items()}
 
 
+def test_mixtures_of_more_than_three_languages():
+    import numpy as np
+
+    from kinseq.llm.language_id import BUCKET_BITS, SMOOTH, infer, trigrams
+
+    parts = ["abc acb bca", "def dfe efd", "ghi gih hig", "jkl jlk klj", "mno mon nom", "pqr prq qrp"]
+    raw = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+    counts = np.stack([np.bincount(trigrams(*raw(" ".join([p] * 50)))[0], minlength=1 << BUCKET_BITS) for p in parts], axis=1) + SMOOTH
+    table = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    for n in range(1, 7):
+        best, score = infer(*raw(" ".join(parts[:n] * 20)), table)
+        assert 0 <= best[0] < n and abs(score[0] - 1 / n) < 0.01
+
+
 def test_smallest_ids_win_ties(spark):
     from pyspark.sql import functions as F
 
