@@ -1,8 +1,10 @@
 """Temporal segmentation: the debounced batch automaton as islands and a fold over its few events,
-and the live automaton."""
+and the live automaton as a fold over runs of equal frames."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,101 +105,119 @@ def frames_of_segments(frames: DataFrame, segments: DataFrame, key: str, fps: fl
     return keyed.join(spans, [key, "_bucket"]).filter("frame_idx between _a and _b").drop("_bucket", "_a", "_b")
 
 
-class LiveArm:
-    """State of one arm in the live automaton."""
-
-    FIELDS = ("up", "ups", "downs", "start", "end", "angle")
-
-    def __init__(self, state=None) -> None:
-        self.up, self.ups, self.downs, self.start, self.end, self.angle = state or (False, 0, 0, 0.0, 0.0, 0.0)
-
-    def state(self) -> tuple:
-        return tuple(getattr(self, f) for f in self.FIELDS)
-
-    def see(self, angle: float | None) -> None:
-        """WIN4: an angle that could not be measured keeps the last one."""
-        if angle is not None:
-            self.angle = angle
-
-    def step(self, t: float, theta: float, min_up: int, min_down: int, delay: float) -> bool:
-        """Advance by a frame; whether it belongs to the clip."""
-        raised = 0 < self.angle < theta
-        if raised and self.up:
-            self.downs, self.end = 0, 0.0
-        elif raised and self.ups == min_up:
-            self.up, self.ups = True, 0
-        elif raised:
-            if self.ups == 0:
-                self.start = t - delay
-            self.ups += 1
-            return False
-        elif self.up and self.downs == min_down:
-            self.up, self.downs = False, 0
-        elif self.up:
-            if self.downs == 0:
-                self.end = t + delay
-            self.downs += 1
-            return True
-        else:
-            self.ups, self.start = 0, 0.0
-        return self.up
-
-
-class LiveSession:
-    """SEG2 and SEG3: two arms, the frame buffer, emission and reset."""
-
-    def __init__(self, theta: float = 140, min_up: int = 10, min_down: int = 10, delay: float = 400, strict_down: bool = False, state=None) -> None:
-        self.p = (theta, min_up, min_down, delay)
-        self.strict = strict_down
-        left, right, self.buffer = state or (None, None, [])
-        self.left, self.right, self.buffer = LiveArm(left), LiveArm(right), list(self.buffer)
-
-    def state(self) -> tuple:
-        return self.left.state(), self.right.state(), list(self.buffer)
-
-    def feed(self, frame: int, t: float, left: float | None, right: float | None):
-        """(start_s, end_s, frames) when a sign closes at this frame, else None."""
-        self.left.see(left)
-        self.right.see(right)
-        theta, up, down, delay = self.p
-        inside = [arm.step(t, theta, up, down, delay) for arm in (self.left, self.right)]
-        if any(inside):
-            self.buffer.append(frame)
-        a, b = self.left, self.right
-        done = [x.start > 0 and x.end > 0 and not (self.strict and x.up) for x in (a, b)]
-        bounds = None
-        if done[0] and b.start == 0:
-            bounds = a.start, a.end
-        if done[1] and a.start == 0:
-            bounds = b.start, b.end
-        if all(done) and not a.up and not b.up:
-            bounds = min(a.start, b.start), max(a.end, b.end)
-        if bounds is None or not self.buffer:
-            return None
-        frames, self.buffer = self.buffer, []
-        self.left, self.right = LiveArm(), LiveArm()
-        return bounds[0] / 1000, bounds[1] / 1000, frames
+_ARM = "struct<raised:boolean,n:int,since:double,up:boolean,start:double,end:double>"
+_FRESH = {"raised": False, "n": 0, "since": 0.0, "up": False, "start": 0.0, "end": 0.0}
+LIVE_SCHEMA = "clip_id long, seg_idx int, start_s double, end_s double, n_frames int, first_frame int, last_frame int"
 
 
-LIVE_SCHEMA = "clip_id long, seg_idx int, start_s double, end_s double, n_frames int, first_frame int, last_frame int"
+@dataclass(frozen=True)
+class LiveRule:
+    """SEG2's parameters: an angle strictly between 0 and ``theta`` is raised; a run of more than
+    ``min_up`` (``min_down``) raised (lowered) frames raises (lowers) the arm; ``delay`` in ms widens a sign;
+    ``strict_down`` keeps an arm that is still up from closing its sign."""
 
+    theta: float = 140
+    min_up: int = 10
+    min_down: int = 10
+    delay: float = 400
+    strict_down: bool = False
 
-def live_segments(frames: DataFrame, **options) -> DataFrame:
-    """SEG2, SEG3 in batch over (clip_id, frame_idx, t_ms, left_angle, right_angle), a clip at a time."""
-    import pyarrow as pa
+    def __post_init__(self) -> None:
+        if min(self.min_up, self.min_down) < 1:
+            raise ValueError("at least one earlier frame is needed")
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _fresh(kind: str, values: dict) -> Column:
+    return F.struct(*[F.lit(v).alias(k) for k, v in values.items()]).cast(kind)
+
+
+def _arm_next(arm: Column, seen: Column, t: Column, rule: LiveRule) -> Column:
+    """An arm after a frame: its run of equal frames, whether it is up, and its bounds so far.
+
+    Bounds hold from a run's first frame on: a run that may raise the arm starts a sign, one that may
+    lower it ends it; a lowered frame unsets the start of an arm that is down, a raised one the
+    end of an arm that is up.  WIN4: an angle that could not be measured keeps the class before it."""
+    raised = F.coalesce(seen, arm["raised"])
+    on = (raised == arm["raised"]) & (arm["n"] > 0)
+    run = F.struct(raised.alias("raised"), F.when(on, arm["n"] + 1).otherwise(1).alias("n"), F.when(on, arm["since"]).otherwise(t).alias("since"))
+
+    def settled(r: Column) -> Column:
+        turns = (r["raised"] != arm["up"]) & (r["n"] == F.when(r["raised"], rule.min_up).otherwise(rule.min_down) + 1)
+        start = F.when(arm["up"], arm["start"]).when(r["raised"], r["since"] - rule.delay).otherwise(0.0)
+        end = F.when(~arm["up"], arm["end"]).when(r["raised"], 0.0).otherwise(r["since"] + rule.delay)
+        return F.struct(r["raised"], r["n"], r["since"], (arm["up"] != turns).alias("up"), start.alias("start"), end.alias("end")).cast(_ARM)
+
+    return _bind(run, settled)
 
-    from kinseq.sources.code import ship_code
 
-    ship_code(frames.sparkSession)
-    names = [part.split()[0] for part in LIVE_SCHEMA.split(", ")]
+def _closing(a: Column, b: Column, rule: LiveRule) -> Column:
+    """(s, t) of the sign that closes: one arm's bounds where the other has no start, else the hull of
+    both once both are down; null fields if none does."""
+    whole = [(x["start"] > 0) & (x["end"] > 0) & ~(x["up"] & F.lit(rule.strict_down)) for x in (a, b)]
+    cases = [(whole[0] & (b["start"] == 0), a["start"], a["end"]), (whole[1] & (a["start"] == 0), b["start"], b["end"]),
+             (whole[0] & whole[1] & ~a["up"] & ~b["up"], F.least(a["start"], b["start"]), F.greatest(a["end"], b["end"]))]
+    s, t = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for holds, lo, hi in cases:  # no two hold at once
+        s, t = F.when(holds, lo).otherwise(s), F.when(holds, hi).otherwise(t)
+    return F.struct(s.alias("s"), t.alias("t"))
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("frame_idx").to_pylist()
-        session, out = LiveSession(**options), []
-        for r in rows:
-            if (got := session.feed(r["frame_idx"], r["t_ms"], r["left_angle"], r["right_angle"])) is not None:
-                out.append((r["clip_id"], len(out), got[0], got[1], len(got[2]), got[2][0], got[2][-1]))
-        kinds = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.table({n: pa.array([o[k] for o in out], kinds[k]) for k, n in enumerate(names)})
 
-    return frames.groupBy("clip_id").applyInArrow(run, LIVE_SCHEMA)
+_SPANS = "array<struct<a:int,b:int>>"
+_SIGNS = f"array<struct<s:double,t:double,n:int,spans:{_SPANS}>>"
+
+
+def live_signs(frames: DataFrame, **options) -> DataFrame:
+    """SEG2, SEG3: (clip_id, seg_idx, start_s, end_s, n_frames, spans) over (clip_id, frame_idx, t_ms, left_angle, right_angle).
+
+    A fold over a clip's frames in order, in expressions alone.  The buffer of frames at which an arm
+    is up is kept as spans of neighbouring frames, so it does not grow with a sign's length.  A sign
+    needs a buffered frame; when it closes, arms and buffer start anew.  Nothing is flushed at the end."""
+    rule = LiveRule(**options)
+    seen = lambda c: ((F.col(c) > 0) & (F.col(c) < rule.theta)).alias(c)
+    frame = F.struct(F.col("frame_idx").cast("int").alias("frame_idx"), F.col("t_ms").cast("double").alias("t"), seen("left_angle"), seen("right_angle"))
+    clips = frames.groupBy("clip_id").agg(F.array_sort(F.collect_list(frame)).alias("f"))
+    arm, spans = _fresh(_ARM, _FRESH), F.array().cast(_SPANS)
+    nothing = [arm.alias("l"), arm.alias("r"), F.lit(False).alias("on"), F.lit(0).alias("n"), spans.alias("spans")]
+
+    def step(state: Column, f: Column) -> Column:
+        def placed(x: Column) -> Column:
+            on = x["l"]["up"] | x["r"]["up"]
+            last, size = F.get(state["spans"], F.size(state["spans"]) - 1), F.size(state["spans"])
+            longer = F.concat(F.slice(state["spans"], F.lit(1), size - 1), F.array(F.struct(last["a"].alias("a"), f["frame_idx"].alias("b"))))
+            another = F.concat(state["spans"], F.array(F.struct(f["frame_idx"].alias("a"), f["frame_idx"].alias("b"))))
+            kept = F.when(on & state["on"], longer).when(on, another).otherwise(state["spans"])
+            buffer = F.struct(on.alias("on"), (state["n"] + on.cast("int")).alias("n"), kept.alias("spans"), _closing(x["l"], x["r"], rule).alias("sign"))
+            return _bind(buffer, lambda y: after(x, y))
+
+        def after(x: Column, y: Column) -> Column:
+            done = y["sign"]["s"].isNotNull() & (y["n"] > 0)
+            sign = F.struct(y["sign"]["s"].alias("s"), y["sign"]["t"].alias("t"), y["n"].alias("n"), y["spans"].alias("spans"))
+            anew = F.struct(*nothing, F.concat(state["out"], F.array(sign)).alias("out"))
+            return F.when(done, anew).otherwise(F.struct(x["l"].alias("l"), x["r"].alias("r"), y["on"].alias("on"), y["n"].alias("n"), y["spans"].alias("spans"), state["out"].alias("out")))
+
+        arms = F.struct(_arm_next(state["l"], f["left_angle"], f["t"], rule).alias("l"), _arm_next(state["r"], f["right_angle"], f["t"], rule).alias("r"))
+        return _bind(arms, placed)
+
+    folded = clips.select("clip_id", F.aggregate("f", F.struct(*nothing, F.array().cast(_SIGNS).alias("out")), step)["out"].alias("out"))
+    one = folded.select("clip_id", F.posexplode("out").alias("seg_idx", "x"))
+    return one.select("clip_id", "seg_idx", (F.col("x.s") / 1000).alias("start_s"), (F.col("x.t") / 1000).alias("end_s"), F.col("x.n").alias("n_frames"), F.col("x.spans").alias("spans"))
+
+
+def live_segments(frames: DataFrame, **options) -> DataFrame:
+    """SEG2: the signs, in ``LIVE_SCHEMA``."""
+    s = live_signs(frames, **options)
+    ends = [F.get("spans", F.lit(0))["a"].alias("first_frame"), F.get("spans", F.size("spans") - 1)["b"].alias("last_frame")]
+    return s.select("clip_id", "seg_idx", "start_s", "end_s", "n_frames", *ends)
+
+
+def live_clip_frames(frames: DataFrame, bucket: int = 256, **options) -> DataFrame:
+    """SEG3: the frames of each sign's buffer, with their ``seg_idx``; a join on clip and bucket of frames."""
+    s = live_signs(frames, **options).select("clip_id", "seg_idx", F.explode("spans").alias("x")).select("clip_id", "seg_idx", "x.a", "x.b")
+    s = s.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("a") / bucket), F.floor(F.col("b") / bucket))))
+    keyed = frames.withColumn("_bucket", F.floor(F.col("frame_idx") / bucket))
+    return keyed.join(s, ["clip_id", "_bucket"]).filter("frame_idx between a and b").drop("_bucket", "a", "b")

@@ -97,9 +97,30 @@ def flt7_segment_range(spark, sf_dir):
     return segment_range(_segments(spark, sf_dir), 1, 3)
 
 
-@query("seg1_two_hands")
+def _two_hands_sql() -> str:
+    """Event by event: a frame's events of both hands, then whether a sign is whole (bounds of 0 read as unset)."""
+    runs = _RUNS.replace("PARTITION BY clip_id", "PARTITION BY clip_id, hand").replace("SELECT clip_id, frame_idx, st AS kind", "SELECT clip_id, hand, frame_idx, st AS kind")
+    runs = runs[: runs.index(",\npair AS")]
+    pick = lambda h, what: f"max({what}) FILTER (WHERE hand = '{h}')"
+    bound = lambda h, k, old: f"CASE WHEN e.{h}k = '{k}' THEN nullif(e.{h}b, 0) ELSE p.{old} END AS {old}"
+    return f"""WITH RECURSIVE {runs},
+ev AS (SELECT clip_id, frame_idx, row_number() OVER (PARTITION BY clip_id ORDER BY frame_idx) AS i, {pick('left', 'kind')} AS lk, {pick('left', 'bound')} AS lb, {pick('right', 'kind')} AS rk, {pick('right', 'bound')} AS rb
+  FROM conf GROUP BY clip_id, frame_idx),
+f AS (
+  SELECT DISTINCT clip_id, CAST(0 AS BIGINT) AS i, CAST(NULL AS DOUBLE) AS ls, CAST(NULL AS DOUBLE) AS le, 'D' AS lu, CAST(NULL AS DOUBLE) AS rs, CAST(NULL AS DOUBLE) AS re, 'D' AS ru, CAST(NULL AS DOUBLE) AS s, CAST(NULL AS DOUBLE) AS t FROM ev
+  UNION ALL
+  SELECT clip_id, i, ls, le, lu, rs, re, ru,
+    CASE WHEN ls IS NOT NULL AND le IS NOT NULL AND rs IS NULL THEN ls WHEN rs IS NOT NULL AND re IS NOT NULL AND ls IS NULL THEN rs WHEN ls IS NOT NULL AND le IS NOT NULL AND rs IS NOT NULL AND re IS NOT NULL AND lu = 'D' AND ru = 'D' THEN least(ls, rs) END AS s,
+    CASE WHEN ls IS NOT NULL AND le IS NOT NULL AND rs IS NULL THEN le WHEN rs IS NOT NULL AND re IS NOT NULL AND ls IS NULL THEN re WHEN ls IS NOT NULL AND le IS NOT NULL AND rs IS NOT NULL AND re IS NOT NULL AND lu = 'D' AND ru = 'D' THEN greatest(le, re) END AS t
+  FROM (SELECT e.clip_id, e.i, {bound('l', 'U', 'ls')}, {bound('l', 'D', 'le')}, coalesce(e.lk, p.lu) AS lu, {bound('r', 'U', 'rs')}, {bound('r', 'D', 're')}, coalesce(e.rk, p.ru) AS ru
+    FROM (SELECT clip_id, i, lu, ru, CASE WHEN s IS NULL THEN ls END AS ls, CASE WHEN s IS NULL THEN le END AS le, CASE WHEN s IS NULL THEN rs END AS rs, CASE WHEN s IS NULL THEN re END AS re FROM f) p
+    JOIN ev e ON e.clip_id = p.clip_id AND e.i = p.i + 1))
+SELECT clip_id, CAST(row_number() OVER (PARTITION BY clip_id ORDER BY i) - 1 AS INTEGER) AS seg_idx, s / 1000 AS start_s, t / 1000 AS end_s FROM f WHERE s IS NOT NULL"""
+
+
+@query("seg1_two_hands", _two_hands_sql())
 def seg1_two_hands(spark, sf_dir):
-    """Event fold of both hands; tested against a frame-by-frame automaton."""
+    """Event fold of both hands; also tested against a frame-by-frame automaton."""
     return sg.merge_hands(_confirmed(spark, sf_dir, by_hand=True), ["clip_id"], "frame_idx")
 
 
@@ -108,13 +129,52 @@ def _live_frames(spark, sf_dir) -> DataFrame:
     return f.select("clip_id", "frame_idx", "t_ms", F.when(F.col("vis") >= 0.1, F.col("angle")).alias("left_angle"), F.when(F.col("vis") < 0.9, F.col("value") * 3.0 % 180.0).alias("right_angle"))
 
 
-@query("seg2_live")
+def _live_sql(theta: float = 90, up: int = 1, down: int = 1, delay: float = 100) -> str:
+    """Frame by frame, both arms' runs and bounds as columns; a closed sign starts the next frame anew."""
+    fresh = {"c": "false", "n": "0", "t": "CAST(0 AS DOUBLE)", "u": "false", "s": "CAST(0 AS DOUBLE)", "e": "CAST(0 AS DOUBLE)"}
+    names = [a + k for a in "lr" for k in fresh]
+    first = ", ".join(f"{fresh[n[1]]} AS {n}" for n in names)
+    again = ", ".join(f"CASE WHEN z0 IS NULL THEN {n} ELSE {fresh[n[1]]} END AS {n}" for n in names)
+    one = ", ".join(f"coalesce(f.{a}seen, p.{a}c) AS {a}c, CASE WHEN coalesce(f.{a}seen, p.{a}c) = p.{a}c AND p.{a}n > 0 THEN p.{a}n + 1 ELSE 1 END AS {a}n, CASE WHEN coalesce(f.{a}seen, p.{a}c) = p.{a}c AND p.{a}n > 0 THEN p.{a}t ELSE f.t_ms END AS {a}t, p.{a}u AS {a}v, p.{a}s AS {a}s0, p.{a}e AS {a}e0" for a in "lr")
+    two = ", ".join(f"{a}c, {a}n, {a}t, CASE WHEN {a}c AND NOT {a}v AND {a}n = {up + 1} THEN true WHEN NOT {a}c AND {a}v AND {a}n = {down + 1} THEN false ELSE {a}v END AS {a}u, CASE WHEN {a}v THEN {a}s0 WHEN {a}c THEN {a}t - {delay} ELSE 0 END AS {a}s, CASE WHEN NOT {a}v THEN {a}e0 WHEN {a}c THEN 0 ELSE {a}t + {delay} END AS {a}e" for a in "lr")
+    whole = {a: f"({a}s > 0 AND {a}e > 0)" for a in "lr"}
+    pick = lambda l, r, b: f"CASE WHEN bn = 0 THEN NULL WHEN {whole['l']} AND rs = 0 THEN {l} WHEN {whole['r']} AND ls = 0 THEN {r} WHEN {whole['l']} AND {whole['r']} AND NOT lu AND NOT ru THEN {b} END"  # noqa: E731, E741
+    return f"""WITH RECURSIVE {c.FRAMES},
+seen AS (SELECT clip_id, frame_idx, t_ms, CASE WHEN vis >= CAST(0.1 AS DOUBLE) THEN angle > 0 AND angle < {theta} END AS lseen,
+  CASE WHEN vis < CAST(0.9 AS DOUBLE) THEN value * CAST(3 AS DOUBLE) % CAST(180 AS DOUBLE) > 0 AND value * CAST(3 AS DOUBLE) % CAST(180 AS DOUBLE) < {theta} END AS rseen FROM frames),
+fold AS (
+  SELECT DISTINCT clip_id, -1 AS i, {first}, 0 AS bn, 0 AS ba, 0 AS bb, CAST(NULL AS DOUBLE) AS z0, CAST(NULL AS DOUBLE) AS z1 FROM seen
+  UNION ALL
+  SELECT *, {pick('ls', 'rs', 'least(ls, rs)')} AS z0, {pick('le', 're', 'greatest(le, re)')} AS z1 FROM (
+    SELECT clip_id, i, {', '.join(names)}, bn0 + CASE WHEN lu OR ru THEN 1 ELSE 0 END AS bn, CASE WHEN bn0 = 0 AND (lu OR ru) THEN i ELSE ba0 END AS ba, CASE WHEN lu OR ru THEN i ELSE bb0 END AS bb FROM (
+      SELECT clip_id, i, {two}, bn0, ba0, bb0 FROM (
+        SELECT f.clip_id, f.frame_idx AS i, {one}, bn AS bn0, ba AS ba0, bb AS bb0 FROM (
+          SELECT clip_id, i, {again}, CASE WHEN z0 IS NULL THEN bn ELSE 0 END AS bn, CASE WHEN z0 IS NULL THEN ba ELSE 0 END AS ba, CASE WHEN z0 IS NULL THEN bb ELSE 0 END AS bb FROM fold) p
+        JOIN seen f ON f.clip_id = p.clip_id AND f.frame_idx = p.i + 1))))
+"""
+
+
+_LIVE = _live_sql()
+_LIVE_SIGNS = _LIVE + "SELECT clip_id, CAST(row_number() OVER (PARTITION BY clip_id ORDER BY i) - 1 AS INTEGER) AS seg_idx, z0 / 1000 AS start_s, z1 / 1000 AS end_s, bn AS n_frames, ba AS first_frame, bb AS last_frame FROM fold WHERE z0 IS NOT NULL"
+
+
+@query("seg2_live", _LIVE_SIGNS)
 def seg2_live(spark, sf_dir):
-    """The live automaton in batch; tested against golden traces and the stream."""
+    """The live automaton in batch; also tested against golden traces and the stream."""
     return sg.live_segments(_live_frames(spark, sf_dir), theta=90, min_up=1, min_down=1, delay=100)
 
 
-@query("seg2_live_stream")
+@query(
+    "seg3_clip_frames",
+    _LIVE + """, sign AS (SELECT clip_id, i, row_number() OVER (PARTITION BY clip_id ORDER BY i) - 1 AS seg_idx, lag(i, 1, -1) OVER (PARTITION BY clip_id ORDER BY i) AS after FROM fold WHERE z0 IS NOT NULL)
+SELECT fold.clip_id, fold.i AS frame_idx, CAST(seg_idx AS INTEGER) AS seg_idx FROM fold JOIN sign ON fold.clip_id = sign.clip_id AND fold.i > sign.after AND fold.i <= sign.i WHERE lu OR ru""",
+)
+def seg3_clip_frames(spark, sf_dir):
+    """The frames that a live sign buffers."""
+    return sg.live_clip_frames(_live_frames(spark, sf_dir), theta=90, min_up=1, min_down=1, delay=100).select("clip_id", "frame_idx", "seg_idx")
+
+
+@query("seg2_live_stream", _LIVE_SIGNS)
 def seg2_live_stream(spark, sf_dir):
     """The same as a stateful stream over the events file, run to its end."""
     import tempfile

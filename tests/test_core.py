@@ -153,13 +153,15 @@ def test_sentinel(spark):
     "left, right, at, bounds, buffered",
     [(range(10), (), 10, (0.9, 1.5), 8), (range(10), range(10), 13, (0.9, 1.5), 10), (range(10), range(2, 11), 14, (0.98, 1.54), None)],
 )
-def test_live_traces(left, right, at, bounds, buffered):
-    s = sg.LiveSession(theta=140, min_up=3, min_down=3, delay=100)
-    for i in range(40):
-        got = s.feed(i, 1000 + 40.0 * i, 90.0 if i in left else 170.0, 90.0 if i in right else 170.0)
-        if got:
-            break
-    assert i == at and got[:2] == pytest.approx(bounds) and (buffered is None or len(got[2]) == buffered)
+def test_live_traces(spark, left, right, at, bounds, buffered):
+    data = [(1, i, 1000 + 40.0 * i, 90.0 if i in left else 170.0, 90.0 if i in right else 170.0) for i in range(40)]
+    f = frame(spark, data, "clip_id long, frame_idx int, t_ms double, left_angle double, right_angle double")
+    options = {"theta": 140, "min_up": 3, "min_down": 3, "delay": 100}
+    assert sg.live_segments(f.filter(F.col("frame_idx") < at), **options).count() == 0
+    (got,) = sg.live_segments(f.filter(F.col("frame_idx") <= at), **options).collect()
+    assert (got.start_s, got.end_s) == pytest.approx(bounds) and (buffered is None or got.n_frames == buffered)
+    kept = sg.live_clip_frames(f.filter(F.col("frame_idx") <= at), **options)
+    assert sorted(r.frame_idx for r in kept.collect())[:: got.n_frames - 1] == [got.first_frame, got.last_frame] and kept.count() == got.n_frames
 
 
 def test_stream_equals_batch_under_any_cut(spark, tmp_path):
