@@ -779,9 +779,13 @@ def rnd5_noise(spark, sf_dir):
     return _unit(spark, sf_dir).select("clip_id", "point", "frame_idx", F.round(aug.noisy(F.col("x"), key, 42), 6).alias("x"))
 
 
-@query("rnd6_affine")
+_AFFINE = f"""CASE WHEN {_u('ap')} < 0.5 THEN CAST(floor({_u('ak')} * 3) AS INTEGER) END AS kind, 0.2 * sqrt(-2.0 * ln(1.0 - {_u('anu')})) * cos(6.283185307179586 * {_u('anv')}) AS n"""
+_AFFINE_XY = """CASE kind WHEN 0 THEN cos(n) * x - sin(n) * y WHEN 1 THEN x + n * y WHEN 2 THEN x * (1 + n) ELSE x END AS x, CASE kind WHEN 0 THEN sin(n) * x + cos(n) * y WHEN 2 THEN y * (1 + n) ELSE y END AS y"""
+
+
+@query("rnd6_affine", f"WITH {_UNIT}, a AS (SELECT *, {_AFFINE} FROM unit), z AS (SELECT clip_id, point, frame_idx, {_AFFINE_XY} FROM a) SELECT clip_id, point, frame_idx, round(x, 6) AS x, round(y, 6) AS y FROM z")
 def rnd6_affine(spark, sf_dir):
-    """Graph-model augmentation; the library's exact draws are not part of its contract."""
+    """Graph-model augmentation; the library's exact draws are not part of its contract, ours are md5 of the clip."""
     x, y = aug.affine(F.col("clip_id"), F.col("x"), F.col("y"), 42, 0.5)
     return _unit(spark, sf_dir).select("clip_id", "point", "frame_idx", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
@@ -840,11 +844,11 @@ def snk8_history_csv(spark, sf_dir):
 @query("udf2_score_stub", f"WITH {c.FRAMES}, n AS (SELECT clip_id, list(value ORDER BY frame_idx) AS v FROM frames GROUP BY clip_id) SELECT clip_id, round(list_sum(v) * 3, 3) AS top FROM n")
 def udf2_score_stub(spark, sf_dir):
     """UDF2-5: packed clips through an Arrow-batched scoring function."""
-    from kinseq.plans.config import score_batches, stub_scores
+    from kinseq.plans.config import linear_scorer, score_batches
 
     rows = F.array_sort(F.collect_list(F.struct("frame_idx", "value")))
     packed = c.frames(spark, sf_dir).groupBy("clip_id").agg(F.transform(rows, lambda r: r["value"]).alias("v"))
-    out = score_batches(packed, stub_scores, "clip_id long, logits array<double>")
+    out = score_batches(packed, linear_scorer([1.0, 2.0, 3.0]), "clip_id long, logits array<double>")
     return out.select("clip_id", F.round(F.array_max("logits"), 3).alias("top"))
 
 
@@ -866,19 +870,51 @@ def udf1_transformer_chain(spark, sf_dir):
     from kinseq.plans.config import TransformOptions, run_chain
 
     options = TransformOptions(anchor="nose", neck_source="column", num_frames=40)
-    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, _MARKS, {}))
+    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, _MARKS, after="select_landmarks"))
     return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 5).alias("sx"), F.round("nose.x", 5).alias("nx"))
 
 
-@query("udf1_training_chain")
+def _training_sql() -> str:
+    """All four augmentations of each point, the drawn one taken; then the chain as before, and noise."""
+    arms = _arm_sql()
+    steps = arms[arms.index(f"{c.BODIES}, ") + len(c.BODIES) + 2 : arms.index(" SELECT clip_id, frame_idx, round(lsx")].replace("FROM bodies", "FROM held")
+    marks = ("ls", "no", "el", "wr", "rs", "ne")
+    r, t = f"radians(-4.0 + 8.0 * {_u('right0')})", f"{_u('right0p')} < 0.3"  # of the right arm only the shoulder is there
+    steps += f", turned AS (SELECT * EXCLUDE (rsx, rsy), CASE WHEN {t} THEN nex + cos({r}) * (rsx - nex) - sin({r}) * (rsy - ney) ELSE rsx END AS rsx, CASE WHEN {t} THEN ney + sin({r}) * (rsx - nex) + cos({r}) * (rsy - ney) ELSE rsy END AS rsy FROM s2)"
+
+    def new(p: str) -> str:
+        x, y = f"o_{p}x", f"o_{p}y"
+        r, left, right, m = f"radians(-13.0 + 26.0 * {_u('rotate')})", f"(0.15 * {_u('left')})", f"(0.15 * {_u('right')})", f"(0.1 * {_u('tilt')})"
+        t, lf = f"(CASE WHEN {_u('side')} < 0.5 THEN 1 - {x} ELSE {x} END)", f"{_u('side')} < 0.5"
+        a1, g1, d1 = f"((1 - {m}) / (1 - 2 * {m}))", f"(2 * {m} / (1 - 2 * {m}))", f"({m} / (1 - 2 * {m}))"
+        nx, gone = f"({a1} * {t} / ({g1} * {t} + 1))", f"{x} = 0 AND {y} = 0"
+        return (
+            f"CASE pick WHEN 2 THEN {p}x WHEN 0 THEN 0.5 + cos({r}) * ({x} - 0.5) - sin({r}) * ({y} - 0.5) WHEN 1 THEN CASE WHEN {gone} THEN 0 ELSE {left} + (1 - {left} - {right}) * {x} END WHEN 3 THEN CASE WHEN {gone} THEN 0 WHEN {lf} THEN 1 - {nx} ELSE {nx} END ELSE {x} END AS {p}x, "
+            f"CASE pick WHEN 2 THEN {p}y WHEN 0 THEN 0.5 + sin({r}) * ({x} - 0.5) + cos({r}) * ({y} - 0.5) WHEN 1 THEN {y} WHEN 3 THEN CASE WHEN {gone} THEN 0 ELSE ({d1} * {t} + {y}) / ({g1} * {t} + 1) END ELSE {y} END AS {p}y"
+        )
+
+    olds = ", ".join(f"{p}{a} AS o_{p}{a}" for p in marks for a in "xy")
+    made = f"{c.BODIES.replace('bodies AS', 'plain AS')}, held AS (SELECT *, {olds}, CASE WHEN {_u('p')} < 0.5 THEN CAST(floor({_u('which')} * 4) AS INTEGER) END AS pick FROM plain), {steps}, bodies AS (SELECT clip_id, frame_idx, {', '.join(new(p) for p in marks)} FROM turned)"
+    g = _anchor_sql("no")
+    g = g[g.index(", g AS") : g.index("\nSELECT clip_id, frame_idx")]
+    norm = lambda p, a: f"CASE WHEN h <> 0 AND {p}x <> 0 THEN ({p}{a} - a{a}) / h ELSE {p}{a} END"
+    noise = lambda m: f"0.001 * sqrt(-2.0 * ln(1.0 - {_u('noiseu', chr(39).join(['clip_id || ', '/', ' || i || ', '/' + m, '']))})) * cos(6.283185307179586 * {_u('noisev', chr(39).join(['clip_id || ', '/', ' || i || ', '/' + m, '']))})"
+    return f"""WITH {made}{g},
+d AS (SELECT clip_id, frame_idx, {norm('ls', 'x')} AS sx, elx, {norm('wr', 'x')} AS wx FROM b),
+n AS (SELECT clip_id, list(sx ORDER BY frame_idx) AS s, list(CASE WHEN wx <> 0 AND elx <> 0 THEN elx - wx ELSE elx END ORDER BY frame_idx) AS e FROM d GROUP BY clip_id),
+r AS (SELECT *, unnest(range(40)) AS i FROM n)
+SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, round(s[CAST(i % len(s) AS INTEGER) + 1] - 0.5 + {noise('leftShoulderx')}, 5) AS sx, round(e[CAST(i % len(e) AS INTEGER) + 1] - 0.5 + {noise('leftElbowx')}, 5) AS ex FROM r"""
+
+
+@query("udf1_training_chain", _training_sql())
 def udf1_training_chain(spark, sf_dir):
-    """The same with drawn augmentations and noise, which have queries of their own."""
+    """The same with the augmentation that each clip draws, hands and noise."""
     from kinseq.plans.chains import transformer_steps
     from kinseq.plans.config import TransformOptions, run_chain
 
     options = TransformOptions(split="train", aug_prob=0.5, anchor="nose", neck_source="column", num_frames=40, gaussian_noise=True)
-    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, [*_MARKS, "leftWrist"], {"leftWrist": ["leftElbow"]}))
-    return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 6).alias("sx"), F.round("leftElbow.x", 6).alias("ex"))
+    out = run_chain(c.bodies(spark, sf_dir), transformer_steps(options, [*_MARKS, "leftWrist"], {"leftWrist": ["leftElbow"]}, after="select_landmarks"))
+    return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 5).alias("sx"), F.round("leftElbow.x", 5).alias("ex"))
 
 
 @query(
@@ -891,17 +927,77 @@ m AS (SELECT clip_id, frame_idx, coalesce(lead(j0) OVER w - j0, 0) AS j0, coales
 SELECT clip_id, frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(j0) OVER c, 5) AS j3 FROM m WINDOW c AS (PARTITION BY clip_id)""",
 )
 def udf1_graph_chain(spark, sf_dir):
-    """pad -> bones -> motion -> root_centre."""
+    """pad -> bones -> motion -> root_centre over packed joints (27 of each embedding's values, the layout's size)."""
     from kinseq.plans.chains import graph_steps
     from kinseq.plans.config import TransformOptions, run_chain
 
     at = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     e = c.read(spark, sf_dir, "embeddings").select(F.col("label").alias("clip_id"), at.alias("frame_idx"), F.transform(F.slice("embedding", 1, 27), lambda x: x.cast("double")).alias("v"))
     options = TransformOptions(model="graph", num_frames=30, bone_stream=True, motion_stream=True, bone_mode="true")
-    out = run_chain(e, graph_steps(options))
+    out = run_chain(e, graph_steps(options, ("v",), after="select_joints"))
     return out.select("clip_id", "frame_idx", *[F.round(F.get("v", F.lit(i)), 5).alias(f"j{i}") for i in (0, 1, 3)])
 
 
+_LONG_MARKS = {"NOSE": "no", "LEFT_SHOULDER": "ls", "RIGHT_SHOULDER": "rs", "LEFT_ELBOW": "el", "LEFT_WRIST": "wr"}
+_COLUMN = {"NOSE": "nose", "LEFT_SHOULDER": "leftShoulder", "RIGHT_SHOULDER": "rightShoulder", "LEFT_ELBOW": "leftElbow", "LEFT_WRIST": "leftWrist"}
+_FILLED = (
+    c.BODIES.replace("bodies AS", "plain AS")
+    + ", obs AS ("
+    + " UNION ALL ".join(f"SELECT clip_id, frame_idx, '{m}' AS point, {p}x AS x, {p}y AS y, CASE WHEN lsx < CAST(0.02 AS DOUBLE) THEN CAST(0.3 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END AS conf FROM plain" for m, p in _LONG_MARKS.items())
+    + """), m AS (SELECT *, (x = 0 AND y = 0) OR conf < CAST(0.5 AS DOUBLE) AS miss FROM obs),
+near AS (SELECT *, last_value(CASE WHEN NOT miss THEN frame_idx END IGNORE NULLS) OVER a AS pi, last_value(CASE WHEN NOT miss THEN x END IGNORE NULLS) OVER a AS px, last_value(CASE WHEN NOT miss THEN y END IGNORE NULLS) OVER a AS py,
+  first_value(CASE WHEN NOT miss THEN frame_idx END IGNORE NULLS) OVER b AS ni, first_value(CASE WHEN NOT miss THEN x END IGNORE NULLS) OVER b AS nx, first_value(CASE WHEN NOT miss THEN y END IGNORE NULLS) OVER b AS ny FROM m
+  WINDOW a AS (PARTITION BY clip_id, point ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY clip_id, point ORDER BY frame_idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+filled AS (SELECT clip_id, frame_idx, point, CASE WHEN miss THEN coalesce(px + (nx - px) * (frame_idx - pi) / CAST(ni - pi AS DOUBLE), px, nx, x) ELSE x END AS x, CASE WHEN miss THEN coalesce(py + (ny - py) * (frame_idx - pi) / CAST(ni - pi AS DOUBLE), py, ny, y) ELSE y END AS y FROM near)"""
+)
+
+
+def _long(spark, sf_dir) -> DataFrame:
+    """(clip_id, frame_idx, component, point, x, y, conf): five body points of each frame, some unsure."""
+    conf = F.when(F.col("leftShoulder.x") < 0.02, 0.3).otherwise(0.9)
+    seen = [F.struct(F.lit(p).alias("point"), F.col(m)["x"].alias("x"), F.col(m)["y"].alias("y")) for p, m in _COLUMN.items()]
+    rows = c.bodies(spark, sf_dir).select("clip_id", "frame_idx", conf.alias("conf"), F.explode(F.array(*seen)).alias("o"))
+    return rows.select("clip_id", "frame_idx", F.lit("POSE_LANDMARKS").alias("component"), "o.point", "o.x", "o.y", "conf")
+
+
+def _whole_transformer_sql() -> str:
+    wide = ", ".join(f"max(CASE WHEN point = '{m}' THEN {a} END) AS {p}{a}" for m, p in _LONG_MARKS.items() for a in "xy")
+    chain = _chain_sql()
+    return f"WITH {_FILLED}, bodies AS (SELECT clip_id, frame_idx, CAST(0 AS DOUBLE) AS nex, CAST(0 AS DOUBLE) AS ney, {wide} FROM filled GROUP BY clip_id, frame_idx)" + chain[chain.index(", g AS") :]
+
+
+@query("udf1_whole_transformer_chain", _whole_transformer_sql())
+def udf1_whole_transformer_chain(spark, sf_dir):
+    """extract -> interpolate -> select_landmarks -> normalise_body -> normalise_hands -> pad -> shift, all 54 landmarks."""
+    from kinseq.plans.chains import transformer_steps
+    from kinseq.plans.config import TransformOptions, run_chain
+
+    out = run_chain(_long(spark, sf_dir), transformer_steps(TransformOptions(interpolate=True, anchor="nose", num_frames=40)))
+    return out.select("clip_id", "frame_idx", F.round("leftShoulder.x", 5).alias("sx"), F.round("nose.x", 5).alias("nx"))
+
+
+@query(
+    "udf1_whole_graph_chain",
+    f"""WITH {_FILLED}, a AS (SELECT *, {_AFFINE} FROM filled), moved AS (SELECT clip_id, frame_idx, point, {_AFFINE_XY} FROM a),
+z AS (SELECT clip_id, frame_idx, point, coalesce((x - avg(x) OVER k) / nullif(stddev_pop(x) OVER k, 0), 0) AS x, coalesce((y - avg(y) OVER k) / nullif(stddev_pop(y) OVER k, 0), 0) AS y FROM moved WINDOW k AS (PARTITION BY clip_id, point)),
+j AS (SELECT clip_id, frame_idx, max(CASE WHEN point = 'NOSE' THEN x END) AS j0, max(CASE WHEN point = 'LEFT_SHOULDER' THEN x END) AS j1, max(CASE WHEN point = 'LEFT_ELBOW' THEN y END) AS e, max(CASE WHEN point = 'LEFT_SHOULDER' THEN y END) AS s FROM z GROUP BY clip_id, frame_idx),
+n AS (SELECT clip_id, list(j0 ORDER BY frame_idx) AS v0, list(j1 - j0 ORDER BY frame_idx) AS v1, list(e - s ORDER BY frame_idx) AS v3, list(0 ORDER BY frame_idx) AS none, any_value(0) AS q FROM j GROUP BY clip_id),
+ny AS (SELECT clip_id, list(y ORDER BY frame_idx) AS y0 FROM z WHERE point = 'NOSE' GROUP BY clip_id),
+r AS (SELECT *, unnest(range(30)) AS i FROM n JOIN ny USING (clip_id)),
+p AS (SELECT clip_id, i, v0[CAST(i % len(v0) AS INTEGER) + 1] AS j0, v1[CAST(i % len(v0) AS INTEGER) + 1] AS j1, v3[CAST(i % len(v0) AS INTEGER) + 1] AS j3, y0[CAST(i % len(v0) AS INTEGER) + 1] AS r3 FROM r),
+d AS (SELECT clip_id, i, coalesce(lead(j0) OVER w - j0, 0) AS j0, coalesce(lead(j1) OVER w - j1, 0) AS j1, coalesce(lead(j3) OVER w - j3, 0) AS j3, coalesce(lead(r3) OVER w - r3, 0) AS r3 FROM p WINDOW w AS (PARTITION BY clip_id ORDER BY i))
+SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(r3) OVER c, 5) AS j3 FROM d WINDOW c AS (PARTITION BY clip_id)""",
+)
+def udf1_whole_graph_chain(spark, sf_dir):
+    """extract -> interpolate -> affine -> select_joints -> pad -> bones -> motion -> root_centre, all 27 joints."""
+    from kinseq.plans.chains import graph_steps
+    from kinseq.plans.config import TransformOptions, run_chain
+
+    options = TransformOptions(model="graph", split="train", interpolate=True, aug_prob=0.5, num_frames=30, bone_stream=True, motion_stream=True, bone_mode="true")
+    out = run_chain(_long(spark, sf_dir), graph_steps(options))
+    return out.select("clip_id", "frame_idx", F.round(F.get("x", F.lit(0)), 5).alias("j0"), F.round(F.get("x", F.lit(1)), 5).alias("j1"), F.round(F.get("y", F.lit(3)), 5).alias("j3"))
+
+
 @query("flt9_detected", f"WITH {c.FRAMES} SELECT clip_id, frame_idx FROM frames WHERE vis >= CAST(0.4 AS DOUBLE)")
 def flt9_detected(spark, sf_dir):
     from kinseq.sources.readers import detected

@@ -296,7 +296,31 @@ def test_options():
     for bad in ({"anchor": "hip"}, {"aug_prob": 2}, {"model": "x"}, {"num_frames": 0}):
         with pytest.raises(ValueError):
             TransformOptions(**bad)
-    assert SegmentOptions(live=True).theta == 140 and expected_shape("graph", 120, 27) == (1, 3, 120, 27, 1)
+    live = SegmentOptions(live=True, theta=160, min_up=20)
+    assert (live.theta, live.min_up, live.min_down, live.visibility) == (160, 20, 10, 0.5) and SegmentOptions().theta == 160 and SegmentOptions(live=True).theta == 140
+    assert expected_shape("graph", 120, 27) == (1, 3, 120, 27, 1)
+
+
+def test_chains_have_every_step_or_fail(spark):
+    from kinseq.plans.chains import graph_steps, transformer_steps
+    from kinseq.plans.config import REGISTRY, TransformOptions, chain, register, run_chain
+
+    for model, make in (("transformer", transformer_steps), ("graph", graph_steps)):
+        options = TransformOptions(model=model, split="train", interpolate=True, aug_prob=0.5, gaussian_noise=True, bone_stream=True, motion_stream=True)
+        assert [name for name, _ in make(options)] == chain(options)
+        with pytest.raises(ValueError):
+            make(TransformOptions(model=model, extra=("no_such_step",)))
+
+    @register("doubled")
+    def doubled(df):
+        return df.withColumn("v", F.transform("v", lambda x: x * 2))
+
+    try:
+        steps = graph_steps(TransformOptions(model="graph", num_frames=2, extra=("doubled",)), ("v",), after="select_joints")
+        out = run_chain(frame(spark, [(1, 0, [1.0, 3.0])], "clip_id int, frame_idx int, v array<double>"), steps)
+        assert sorted(rows(out, "frame_idx", "v")) == [(0, [0.0, 4.0]), (1, [0.0, 4.0])]
+    finally:
+        REGISTRY.pop("doubled")
 
 
 def test_component_pruning(spark):
