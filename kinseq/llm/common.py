@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -29,24 +30,35 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Paths written inside the open ``temporary_tables`` blocks, innermost last.
-_OPEN: list[list[str]] = []
+#: The paths written inside the open ``temporary_tables`` blocks of this thread, innermost last.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open_blocks", default=())
+#: Every path written by this process and not removed since.
+_WRITTEN: set[str] = set()
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession):
     """Tables written inside the block go when it ends, but for those written with ``keep``."""
-    _OPEN.append([])
+    before, mine = _OPEN.get(), []
+    _OPEN.set((*before, mine))
     try:
         yield
     finally:
-        for path in _OPEN.pop():
+        _OPEN.set(before)
+        for path in mine:
             drop_path(spark, path)
 
 
+def purge_scratch(spark: SparkSession) -> None:
+    """Remove what results still hold: no DataFrame returned before may be used afterwards."""
+    for path in list(_WRITTEN):
+        drop_path(spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _WRITTEN.discard(path)
 
 
 def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -55,8 +67,10 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/kinseq/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    if len(_OPEN) > keep:
-        _OPEN[-1 - keep].append(path)
+    _WRITTEN.add(path)
+    blocks = _OPEN.get()
+    if len(blocks) > keep:
+        blocks[-1 - keep].append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._path = path
     return out
@@ -66,11 +80,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound what one Arrow batch of long texts can hold in a Python worker; send the code there."""
+#: Rows and bytes of text that one Arrow batch to a Python worker holds at most.
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what one Arrow batch of long texts can hold in a Python worker; send the code there.
+
+    The bounds are the same for every operator and only ever lowered, so frames built earlier
+    keep theirs whatever is called later; operators that want larger batches join them (``joined``)."""
     ship_code(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{name}", None) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` over bounded batches."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def joined(batches, rows: int, most: int = 8 << 20):
+    """Batches of up to ``rows`` rows and ``most`` bytes out of smaller ones."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        if held and (n + batch.num_rows > rows or size + batch.nbytes > most):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+            held, n, size = [], 0, 0
+        if batch.num_rows:
+            held, n, size = [*held, batch], n + batch.num_rows, size + batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
 
 
 def return_memory(above: int = 1 << 20) -> None:
@@ -257,6 +299,42 @@ def sum_rows(df: DataFrame, keys: list[str], vector: str, width: int) -> DataFra
     return sums.select(*keys, F.array(*[f"c{i}" for i in range(width)]).alias(vector))
 
 
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def merge_counts(hashes, most: int = 1_500_000):
+    """For ``mapInArrow``: (token, c) of the hashes that ``hashes(column)`` yields in arrays, counted
+    together over a task; of more than ``most`` different ones what is there is sent on."""
+
+    def run(batches):
+        parts, held = [], 0
+
+        def rows():
+            keys, counts = _merged(parts)
+            for at in range(0, len(keys), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000].view(np.int64)), pa.array(counts[at : at + 100_000])], names=["token", "c"])
+
+        for batch in batches:
+            for found in hashes(batch.column(0)):
+                parts.append(np.unique(found, return_counts=True))
+                held += len(parts[-1][0])
+                if held > most:
+                    parts = [_merged(parts)]
+                    held = len(parts[0][0])
+                    if held > most:
+                        yield from rows()
+                        parts, held = [], 0
+        if parts:
+            yield from rows()
+
+    return run
+
+
 def crc_mod(column: str, mod: int):
     """crc32 of the id as text, modulo ``mod``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(mod)
@@ -265,12 +343,13 @@ def crc_mod(column: str, mod: int):
 # --------------------------------------------------------------------------- connected components
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``edges(a, b)``; comp is the smallest node reachable.
 
     Alternating large-star and small-star steps: each only takes minima by key (partially
     aggregated before the shuffle) and joins them back, so no group is ever gathered.
-    Logarithmically many steps; each step's edges are written to the shared folder.
+    Steps go on until the edges no longer change (logarithmically many); each step's edges are
+    written to the shared folder.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -288,7 +367,7 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     e, last = edges.filter("a <> b").select("a", "b").distinct(), None
-    for _ in range(rounds):
+    while True:
         before, e = e, materialise(star(star(e, True), False), "star")
         if last is not None:  # the step before is written: the one before that is done with
             drop_path(e.sparkSession, before._path)

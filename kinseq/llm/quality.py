@@ -1,51 +1,44 @@
 """Quality classifier: random-indexing word vectors, pooled, then a two-layer network.
 
-Tokens are runs of letters, of digits or of other marks; each also has a shape (its kind, case,
-length class and, for marks, which).  Every token and shape has a fixed sparse ternary index
-vector, a token's drawn from its whole 64-bit hash, so no two words share sums; a token's word vector
-sums, over *all* rows, the index vectors of its neighbours (window of ``WINDOW`` each side), centred,
-scaled to unit length (kept to a byte a place) and joined to its own index vector.
-Groups of texts send their words' sums to blocks of hashes, where they are added up over the corpus,
-and get the vectors of just their words back; there is no table of all words anywhere.
-A text's features are the means of its tokens' and of its shapes' vectors and its size.  The network
-(one hidden layer of tanh, numpy, Adam) is fitted on at most ``MAX_LABELS`` labelled training rows
-(all when there are fewer; chosen by hash of the id otherwise); a temperature fitted on a tenth of
-them that is kept out calibrates its probabilities.
+Tokens are runs of letters, of digits or of other marks.  Every token has a fixed sparse ternary index
+vector, drawn from its whole 64-bit hash, so there is no table of index vectors and no two words share
+one.  A word's vector sums, over *all* rows, the index vectors of its neighbours (window of ``WINDOW``
+each side), centred, scaled to unit length and kept to a byte a place.  The vocabulary are the words
+with at least ``SHARE`` of all tokens: exact counts over all rows decide, and by that definition it
+holds at most ``1 / SHARE`` words (at most 20 MB are broadcast), however large the corpus is.  Rarer words
+count as neighbours like all others and bring their own index vectors, but no context of their own.
+A text's features are the means of its words' vectors and index vectors, the latter's length and its size.
+
+The network (one hidden layer of tanh, numpy, Adam) is fitted on at most ``MAX_LABELS`` labelled
+training rows (all when there are fewer; chosen by hash of the id otherwise).  A tenth of them is kept
+out for the temperature; its targets are those of Platt's method, (n1 + 1) / (n1 + 2) and 1 / (n0 + 2),
+so a perfectly parted set does not push the temperature to zero.
 
 Defined results: null and empty texts have zero vectors and get the score of those; without
-labelled training rows the score is 0.5; repeated rows score alike; null labels teach nothing;
-extra columns are ignored.
+labelled training rows of both labels the score is 0.5; repeated rows score alike; null labels teach
+nothing; extra columns are ignored; texts of any length are read whole, in slices.
 """
 
 from __future__ import annotations
 
-import pickle
-import zlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import _POWERS, BROADCAST_IDS, _byte_values, drop_path, materialise, mix64, small_batches, string_buffers
+from kinseq.llm.common import _POWERS, BROADCAST_IDS, _byte_values, merge_counts, materialise, mix64, arrow_map, string_buffers, sum_rows, temporary_tables
 
-SHAPES, DIM, WINDOW, NONZERO = 64, 32, 2, 4
-HIDDEN, EPOCHS, RATE, DECAY, MAX_LABELS = 32, 60, 0.01, 1e-4, 20_000
+DIM, WINDOW, NONZERO, SHARE = 32, 2, 4, 2.0**-19
+HIDDEN, EPOCHS, STEPS, RATE, DECAY, MAX_LABELS = 32, 60, 1500, 0.01, 1e-4, 20_000
 THRESHOLD = 0.3
-_CHUNK = 1 << 19
-#: Bytes of text in a group, and characters of all texts for each block of hashes.
-_GROUP, _BLOCK = 1 << 25, 1 << 24
-#: Numbers of the rows that are no block of words.
-TEXTS, OF_SHAPES = -2, -1
+FEATURES = 2 * DIM + 2
+_CHUNK, _SLICE = 1 << 19, 1 << 16
 
 #: Kinds of bytes: 0 white space, 1 letters (all of UTF-8's bytes above 127), 2 digits, 3 others.
 _KIND = np.full(256, 3, dtype=np.int8)
 _KIND[[9, 10, 11, 12, 13, 32]] = 0
 _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
 _KIND[48:58] = 2
-_UPPER = np.zeros(256, dtype=np.int64)
-_UPPER[65:91] = 1
 
 
 def index_vectors(keys: np.ndarray) -> np.ndarray:
@@ -62,10 +55,11 @@ def index_vectors(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def tokens(raw: np.ndarray, offs: np.ndarray):
-    """(64-bit hash of the word, shape, text) of each token."""
+def tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, text) of each token; A-Z are lower-cased."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if not len(raw):
-        return (np.zeros(0, np.int64),) * 3
+        return none
     kind = _KIND[raw]
     edge = np.ones(len(raw) + 1, dtype=bool)
     edge[1:-1] = kind[1:] != kind[:-1]
@@ -75,22 +69,10 @@ def tokens(raw: np.ndarray, offs: np.ndarray):
     some = kind[starts] > 0
     starts, ends = starts[some], ends[some]
     if not len(starts):
-        return (np.zeros(0, np.int64),) * 3
-    size, of = ends - starts, kind[starts]
+        return none
     up, down = _POWERS.get(len(raw) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values(True)[raw] * up[: len(raw)])])
-    word = mix64((sums[ends] - sums[starts]) * down[starts] + size.astype(np.uint64))
-    capitals = np.concatenate([[0], np.cumsum(_UPPER[raw])])
-    capitals = capitals[ends] - capitals[starts]
-    length = np.minimum(size, 4) - 1
-    case = np.where(capitals == 0, 0, np.where(capitals == 1, 1, np.where(capitals * 2 >= size, 2, 3)))
-    # 16 shapes of letters by case and length, 4 of digits, marks by their first byte and length,
-    # and two of words that repeat the token before or the one before that
-    shape = np.where(of == 1, case * 4 + length, np.where(of == 2, 16 + length, 20 + (raw[starts] % 21) * 2 + (size > 1))).astype(np.int64)
-    text = np.searchsorted(offs, starts, "right") - 1
-    for d, what in ((2, 63), (1, 62)):
-        shape[d:][(word[d:] == word[:-d]) & (text[d:] == text[:-d]) & (of[d:] == 1)] = what
-    return word, shape, text
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), np.searchsorted(offs, starts, "right") - 1
 
 
 def _chunks(column: pa.Array):
@@ -98,177 +80,104 @@ def _chunks(column: pa.Array):
     at = 0
     while at < len(offs) - 1:
         stop = max(at + 1, int(np.searchsorted(offs, offs[at] + _CHUNK, "right")) - 1)
-        yield raw[offs[at] : offs[stop]], offs[at : stop + 1] - offs[at]
+        yield at, raw[offs[at] : offs[stop]], offs[at : stop + 1] - offs[at]
         at = stop
 
 
-def _pack(*arrays) -> bytes:
-    return zlib.compress(pickle.dumps(arrays, protocol=5), 1)
-
-
-def _unpack(data: bytes):
-    return pickle.loads(zlib.decompress(data))
-
-
-def _sums(keys: np.ndarray, rows: np.ndarray, kind=np.int32) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and the sums of their rows."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(rows[order], first, axis=0, dtype=kind) if len(first) else rows
-
-
-class _Group:
-    """What is known of about ``_GROUP`` bytes of texts before any vector is."""
-
-    def __init__(self) -> None:
-        self.bytes, self.texts, self.pending, self.tokens = 0, [], [], np.zeros(0, np.uint64)
-        self.sums, self.shapes = np.zeros((0, DIM + 1), np.int32), np.zeros((SHAPES, DIM + 1), np.int64)
-
-    def add(self, raw: np.ndarray, offs: np.ndarray, ids: list, keys: list) -> None:
-        n = len(offs) - 1
-        word, shape, text = tokens(raw, offs)
-        distinct, local = np.unique(word.astype(np.uint64), return_inverse=True)
-        index, of_shape = index_vectors(distinct).astype(np.float32), index_vectors(np.arange(SHAPES, dtype=np.uint64)).astype(np.float32)
-        sums, shapes = np.zeros((DIM + 1, len(distinct))), np.zeros((DIM + 1, SHAPES))
-        sums[DIM], shapes[DIM] = np.bincount(local, minlength=len(distinct)), np.bincount(shape, minlength=SHAPES)
-        same = [(text[d:] == text[:-d]).astype(np.float32) for d in range(1, WINDOW + 1)]
-        for j in range(DIM):
-            own = index[:, j][local] + of_shape[:, j][shape]
-            around = np.zeros(len(own), dtype=np.float32)
-            for d, near in enumerate(same, 1):
-                around[d:] += own[:-d] * near
-                around[:-d] += own[d:] * near
-            sums[j] = np.bincount(local, weights=around, minlength=len(distinct))
-            shapes[j] = np.bincount(shape, weights=around, minlength=SHAPES)
-        self.shapes += np.rint(shapes).astype(np.int64).T
-        self.pending.append((distinct, np.rint(sums).astype(np.int32).T))
-        if len(self.pending) == 8:
-            self._merge()
-        pairs, times = np.unique(text * max(1, len(distinct)) + local, return_counts=True)
-        owner, place = np.divmod(pairs, max(1, len(distinct)))
-        starts = np.searchsorted(owner, np.arange(n + 1))
-        own = _by_text(index, place, times, starts).astype(np.int32)
-        by_shape = np.bincount(text * SHAPES + shape, minlength=n * SHAPES).reshape(n, SHAPES).astype(np.int32)
-        self.texts.append((ids, keys, distinct, place.astype(np.int32), times.astype(np.int32), np.diff(starts), own, by_shape))
-        self.bytes += len(raw)
-
-    def _merge(self) -> None:
-        parts = [(self.tokens, self.sums), *self.pending]
-        self.tokens, self.sums = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        self.pending = []
-
-    def rows(self, group: int, bits: int):
-        """(group, block, data): the texts, the sums of shapes, and those of words by block of hashes."""
-        self._merge()
-        ids, keys = [i for t in self.texts for i in t[0]], [k for t in self.texts for k in t[1]]
-        place = [np.searchsorted(self.tokens, t[2]).astype(np.int32)[t[3]] for t in self.texts]
-        columns = [np.concatenate([t[c] for t in self.texts]) for c in range(4, 8)]
-        yield group, TEXTS, _pack(ids, keys, np.concatenate(place), *columns)
-        yield group, OF_SHAPES, _pack(self.shapes)
-        bounds = np.searchsorted(self.tokens >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-        for block in range(1 << bits):
-            a, b = bounds[block : block + 2]
-            if a < b:
-                few = np.abs(self.sums[a:b]).max(axis=1) < 128  # most words are rare: a byte a sum
-                yield group, block, _pack(self.tokens[a:b], few, self.sums[a:b][few].astype(np.int8).T.copy(), self.sums[a:b][~few].T.copy())
-
-
-def _tally(bits: int):
+def _hashes(column: pa.Array):
+    for _, raw, offs in _chunks(column):
+        yield tokens(raw, offs)[0]
+
+
+class Vocabulary:
+    """The frequent words' hashes, sorted, and their vectors (a last row of zeros for all others)."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words, self.vectors = words, None
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, at, len(self.words))
+
+    def learn(self, places: np.ndarray, sums: np.ndarray) -> None:
+        """Context vectors: centred on what is near any word, of unit length, a byte a place."""
+        mean = sums[:, :DIM].sum(axis=0) / max(1.0, sums[:, DIM].sum())
+        context = sums[:, :DIM] - sums[:, DIM:] * mean
+        context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-12)
+        self.vectors = np.zeros((len(self.words) + 1, DIM), dtype=np.int8)
+        self.vectors[places] = np.rint(127 * context)
+
+
+def _add_contexts(total: np.ndarray, vocabulary: Vocabulary, hashes: np.ndarray, text: np.ndarray) -> None:
+    """Add what stands around each vocabulary word, and its count, to ``total[word, DIM + 1]``."""
+    distinct, local = np.unique(hashes, return_inverse=True)
+    place, index = vocabulary.find(distinct), index_vectors(distinct)
+    for a in range(0, len(hashes), _SLICE):
+        lo, b = max(0, a - WINDOW), min(len(hashes), a + _SLICE)
+        hi = min(len(hashes), b + WINDOW)
+        own, of = index[local[lo:hi]], text[lo:hi]
+        around = np.zeros_like(own)
+        for d in range(1, WINDOW + 1):
+            same = (of[d:] == of[:-d])[:, None]
+            around[d:] += own[:-d] * same
+            around[:-d] += own[d:] * same
+        at = place[local[a:b]]
+        order = np.argsort(at, kind="stable")
+        order = order[: np.searchsorted(at[order], len(vocabulary.words))]
+        if len(order):
+            at = at[order]
+            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            total[at[first], :DIM] += np.add.reduceat(around[a - lo :][order], first, axis=0, dtype=np.int32)
+            total[at[first], DIM] += np.diff(np.append(first, len(at)))
+
+
+def _contexts(state):
     def run(batches):
-        context = TaskContext.get()
-        number, held = (context.partitionId() if context else 0) << 32, _Group()
-
-        def out():
-            for g, block, data in held.rows(number, bits):
-                yield pa.RecordBatch.from_arrays([pa.array([g]), pa.array([block]), pa.array([data], pa.binary())], names=["grp", "block", "data"])
-
+        vocabulary = state.value
+        total = np.zeros((len(vocabulary.words), DIM + 1), dtype=np.int64)
         for batch in batches:
-            ids, keys, at = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
-            for raw, offs in _chunks(batch.column(2)):
-                held.add(raw, offs, ids[at : at + len(offs) - 1], keys[at : at + len(offs) - 1])
-                at += len(offs) - 1
-                if held.bytes >= _GROUP:
-                    yield from out()
-                    number, held = number + 1, _Group()
-        if held.texts:
-            yield from out()
-
-    return run
-
-
-def _contexts(sums: np.ndarray, mean: np.ndarray) -> np.ndarray:
-    """Context vectors, centred and of unit length."""
-    context = sums[:, :DIM] - sums[:, DIM:] * mean
-    return context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-12)
-
-
-def _word_vectors(mean: np.ndarray):
-    """The whole corpus's vectors of one block's words, for each group in its own order."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        parts = []
-        for data in rows["data"].to_pylist():
-            words, few, small, large = _unpack(data)
-            sums = np.empty((len(words), DIM + 1), np.int32)
-            sums[few], sums[~few] = small.T, large.T
-            parts.append((words, sums))
-        distinct, total = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.int64)
-        vectors = np.rint(127 * _contexts(total, mean)).astype(np.int8)
-        back = [_pack(vectors[np.searchsorted(distinct, words)].T.copy()) for words, _ in parts]
-        return pa.table({"grp": rows["grp"], "block": rows["block"], "data": pa.array(back, pa.binary())})
-
-    return run
-
-
-def _by_text(vectors: np.ndarray, place: np.ndarray, times: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """[texts, DIM]: sums of the vectors of each text's words."""
-    out, at, texts = np.zeros((len(starts) - 1, DIM), dtype=np.float32), 0, len(starts) - 1
-    while at < texts:
-        stop = max(at + 1, int(np.searchsorted(starts, starts[at] + 100_000, "right")) - 1)
-        lo, hi = starts[at], starts[stop]
-        some = at + np.flatnonzero(np.diff(starts[at : stop + 1]))
-        if len(some):
-            out[some] = np.add.reduceat(vectors[place[lo:hi]].astype(np.float32) * times[lo:hi, None].astype(np.float32), starts[some] - lo, axis=0)
-        at = stop
-    return out
-
-
-def _pool(shape_vectors: np.ndarray):
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words["block"].to_numpy()) if len(words) else []
-        parts = words["data"].to_pylist() if len(words) else []
-        vectors = np.concatenate([_unpack(parts[i])[0].T for i in order] or [np.zeros((0, DIM), np.int8)])
-        ids, keys, flat = [], [], []
-        for data in texts["data"].to_pylist():
-            mine, key, place, times, sizes, own, by_shape = _unpack(data)
-            count = np.maximum(by_shape.sum(axis=1), 1)[:, None].astype(np.float32)
-            context = _by_text(vectors, place, times, np.append(0, np.cumsum(sizes))) / np.float32(127)
-            x = np.concatenate([context / count, own / np.float32(np.sqrt(NONZERO)) / count, by_shape.astype(np.float32) @ shape_vectors / count, np.log1p(by_shape.sum(axis=1))[:, None] / 10], axis=1).astype(np.float32)
-            ids, keys, flat = ids + mine, keys + key, flat + [r.tobytes() for r in x]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "features": pa.array(flat, pa.binary())})
+            for _, raw, offs in _chunks(batch.column(0)):
+                _add_contexts(total, vocabulary, *tokens(raw, offs))
+        some = np.flatnonzero(total[:, DIM])
+        for a in range(0, len(some), 4096):
+            part = some[a : a + 4096]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * (DIM + 1), pa.int32()), pa.array(total[part].reshape(-1)))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), lists], names=["place", "sums"])
 
     return run
 
 
-def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, features) of every row, written; ``key`` is the text's xxhash64."""
-    size = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
-    bits = max(5, int(size // _BLOCK).bit_length())  # blocks of hashes grow in number, not in size
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), text_col)
-    tallied = materialise(rows.mapInArrow(_tally(bits), "grp long, block long, data binary"), "tallied")
-    sums = np.zeros((SHAPES, DIM + 1))
-    for r in tallied.filter(F.col("block") == OF_SHAPES).select("data").toLocalIterator():
-        sums += _unpack(r.data)[0]
-    mean = sums[:, :DIM].sum(axis=0) / max(1.0, sums[:, DIM].sum())
-    own = index_vectors(np.arange(SHAPES, dtype=np.uint64)) / np.sqrt(NONZERO)
-    shape_vectors = np.concatenate([_contexts(sums, mean), own], axis=1).astype(np.float32)
-    words = tallied.filter("block >= 0").groupBy("block").applyInArrow(_word_vectors(mean), "grp long, block long, data binary")
-    texts = tallied.filter(F.col("block") == TEXTS)
-    out = texts.groupBy("grp").cogroup(words.groupBy("grp")).applyInArrow(_pool(shape_vectors), "doc_id long, key long, features binary")
-    out = materialise(out, "pooled")
-    drop_path(docs.sparkSession, tallied._path)
-    return out
+def pool(raw: np.ndarray, offs: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """[texts, FEATURES]: means of vectors, the length of the mean index vector (about 1 over the root of
+    how many different words a text has in effect) and the number of tokens."""
+    hashes, text = tokens(raw, offs)
+    distinct, local = np.unique(hashes, return_inverse=True)
+    table = np.concatenate([vocabulary.vectors[vocabulary.find(distinct)], index_vectors(distinct)], axis=1)
+    n = len(offs) - 1
+    sums = np.zeros((n, 2 * DIM))
+    for a in range(0, len(hashes), _SLICE):
+        of = text[a : a + _SLICE]
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        sums[of[first]] += np.add.reduceat(table[local[a : a + _SLICE]], first, axis=0, dtype=np.int32)
+    count = np.bincount(text, minlength=n)[:, None]
+    scale = np.repeat([1 / 127, NONZERO**-0.5], DIM)
+    means = sums * scale / np.maximum(count, 1)
+    return np.concatenate([means, np.log(np.linalg.norm(means[:, DIM:], axis=1, keepdims=True) + 1e-3), np.log1p(count) / 10], axis=1)
+
+
+def learn_vectors(docs: DataFrame, text_col: str = "text", share: float = SHARE) -> Vocabulary:
+    """The vocabulary and its vectors, from all rows of ``docs``."""
+    spark, texts = docs.sparkSession, docs.select(text_col)
+    counts = materialise(arrow_map(texts, merge_counts(_hashes), "token long, c long").groupBy("token").agg(F.sum("c").alias("c")), "words")
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    words = counts.filter(F.col("c") >= max(1.0, share * total)).select("token").toArrow()  # at most 1 / share rows
+    vocabulary = Vocabulary(np.sort(words["token"].to_numpy().view(np.uint64)))
+    state = spark.sparkContext.broadcast(vocabulary)
+    sums = sum_rows(arrow_map(texts, _contexts(state), "place int, sums array<long>"), ["place"], "sums", DIM + 1).toArrow()  # a row a word
+    vocabulary.learn(sums["place"].to_numpy(), sums["sums"].combine_chunks().flatten().to_numpy().reshape(-1, DIM + 1).astype(np.float64))
+    return vocabulary
 
 
 class Network:
@@ -283,7 +192,7 @@ class Network:
         self.temperature = 1.0
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         tx, ty, step = x[~out], y[~out], 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, STEPS * 256 // max(256, len(tx)))):  # few rows are seen more often
             order = rng.permutation(len(tx))
             for at in range(0, len(tx), 256):
                 bx, by = tx[order[at : at + 256]], ty[order[at : at + 256]]
@@ -297,10 +206,7 @@ class Network:
                     second[k] += 0.001 * (gk * gk - second[k])
                     self.p[k] -= RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
         if out.any():
-            logits, truth = self._logits(x[out]), y[out]
-            grid = np.exp(np.linspace(-1.5, 2.0, 71))
-            loss = [np.mean(np.logaddexp(0, logits / t) - truth * logits / t) for t in grid]
-            self.temperature = float(grid[int(np.argmin(loss))])
+            self.temperature = temperature(self._logits(x[out]), y[out])
 
     def _logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh(x @ self.p["a"] + self.p["b"]) @ self.p["c"] + self.p["d"][0]
@@ -309,52 +215,79 @@ class Network:
         return 1 / (1 + np.exp(-self._logits((x - self.mean) / self.std) / self.temperature))
 
 
-def fit(features: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", most: int = MAX_LABELS) -> Network | None:
-    """``features(doc_id, features)`` and labels of training rows; at most ``most`` are fetched."""
-    rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    joined = features.join(rows, "doc_id").select("doc_id", "features", "label")
-    n = joined.count()
-    if n > most:  # a little more than asked for by hash, so that what is sorted and sent stays bounded
-        joined = joined.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * 1.1 * most / n) + 1)
-    joined = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
-    got = joined.toPandas()
-    if not len(got) or got.label.nunique() < 2:
+def temperature(logits: np.ndarray, y: np.ndarray) -> float:
+    """The divisor of the logits with the least cross entropy against Platt's targets.
+
+    The loss is convex in 1 / t; its slope is bisected, so the optimum is inside, never at a grid's end."""
+    ones = y.sum()
+    target = np.where(y > 0.5, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
+    low, high = 1e-6, 1e6  # of 1 / t
+    for _ in range(80):
+        mid = np.sqrt(low * high)
+        slope = np.mean((0.5 * (1 + np.tanh(logits * mid / 2)) - target) * logits)
+        low, high = (low, mid) if slope > 0 else (mid, high)
+    return float(1 / low)
+
+
+def _features(state):
+    def run(batches):
+        for batch in batches:
+            x = [pool(raw, offs, state.value) for _, raw, offs in _chunks(batch.column(2))]
+            flat = np.concatenate(x) if x else np.zeros((0, FEATURES))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()), pa.array(flat.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "label", "features"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, vocabulary, id_col: str, text_col: str, label_col: str, most: int = MAX_LABELS) -> Network | None:
+    """A network of at most ``most`` labelled rows; only their texts are pooled."""
+    rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).distinct()
+    n = rows.count()
+    if n > most:  # a little more than asked for by hash, so that what is sorted, joined and sent stays bounded
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * 1.1 * most / n) + 1)
+    rows = F.broadcast(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    order = [F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("text")]
+    picked = texts.join(rows, "doc_id").orderBy(*order).limit(most).select("doc_id", "label", "text")  # repeated ids bring more rows
+    got = arrow_map(picked, _features(vocabulary), "doc_id long, label int, features array<double>").toArrow()
+    y = got["label"].to_numpy().astype(np.float64)
+    if not 0 < y.sum() < len(y):
         return None
-    x = np.frombuffer(b"".join(got.features), dtype=np.float32).reshape(len(got), -1).astype(np.float64)
-    return Network(x, got.label.to_numpy(dtype=np.float64))
+    return Network(got["features"].combine_chunks().flatten().to_numpy().reshape(len(y), -1), y)
 
 
-def _score(model):
+def _score(state, network):
     def run(batches):
-        net = model.value
+        net = network.value
         for batch in batches:
-            rows = batch.column(1).to_pylist()
-            x = np.frombuffer(b"".join(rows), dtype=np.float32).reshape(len(rows), 4 * DIM + 1).astype(np.float64)
-            s = net.score(x) if net is not None else np.full(len(rows), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(s, 0, 1), pa.float64())], names=["doc_id", "score"])
+            s = [np.full(len(offs) - 1, 0.5) if net is None else net.score(pool(raw, offs, state.value)) for _, raw, offs in _chunks(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(np.concatenate(s or [np.zeros(0)]), 0, 1), pa.float64())], names=["key", "score"])
 
     return run
 
 
-def _train(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str):
-    """(written features, broadcast network)"""
-    small_batches(docs.sparkSession)
-    features = text_features(docs, id_col, text_col)
-    net = fit(features, labels.filter(training), label_col, id_col)
-    return features, docs.sparkSession.sparkContext.broadcast(net)
+def _scorer(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str):
+    """A function of (key, text) rows that gives (key, score)."""
+    context = docs.sparkSession.sparkContext
+    with temporary_tables(docs.sparkSession):
+        vocabulary = context.broadcast(learn_vectors(docs, text_col))
+        network = context.broadcast(fit(docs, labels.filter(training), vocabulary, id_col, text_col, label_col))
+    return lambda rows: arrow_map(rows, _score(vocabulary, network), "key long, score double")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """(doc_id, score) of every row; ``training`` is a condition on the label rows."""
-    features, net = _train(docs, labels, training, id_col, text_col, label_col)
-    return features.select("doc_id", "features").mapInArrow(_score(net), "doc_id long, score double")
+    score = _scorer(docs, labels, training, id_col, text_col, label_col)
+    return score(docs.select(F.col(id_col).cast("long").alias("key"), text_col)).select(F.col("key").alias("doc_id"), "score")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, all columns kept.  A score belongs to a
     text, so the texts that are rejected go by their keys."""
-    features, net = _train(docs, labels, training, id_col, text_col, label_col)
-    scored = features.select(F.col("key").alias("doc_id"), "features").mapInArrow(_score(net), "doc_id long, score double")
-    bad = materialise(scored.filter(F.col("score") < threshold).select(F.col("doc_id").alias("_key")).distinct(), "rejected")
+    score = _scorer(docs, labels, training, id_col, text_col, label_col)
+    key = F.xxhash64(text_col)
+    bad = score(docs.select(key.alias("key"), text_col)).filter(F.col("score") < threshold)
+    bad = materialise(bad.select(F.col("key").alias("_key")).distinct(), "rejected")
     gone = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
-    return docs.withColumn("_key", F.xxhash64(text_col)).join(gone, "_key", "left_anti").select(*docs.columns)
+    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinseq.llm.common import _POWERS, _byte_values, mix64, return_memory, small_batches, string_buffers
+from kinseq.llm.common import _POWERS, _byte_values, joined, mix64, return_memory, small_batches, string_buffers
 
 _MARK = "▁"
 #: Chunks of more symbols go to the heap.
@@ -317,7 +317,7 @@ def _digest_batches(path: str):
     def run(batches):
         return_memory(above=1 << 25)
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in joined(batches, 1000):
             texts = batch.column(1)
             ids, offs = vocab.encode(texts)
             n, ids_sha, text_sha = np.diff(offs), [], []
@@ -356,5 +356,5 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), each batch checked against the library."""
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(_digest_batches(model), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

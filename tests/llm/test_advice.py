@@ -21,30 +21,71 @@ def test_words_of_one_old_bucket_are_told_apart(spark):
     assert min(s for i, s in got.items() if i % 2) > max(s for i, s in got.items() if not i % 2)
 
 
-def test_context_sums_are_of_whole_words():
+def test_context_sums_are_of_whole_words(monkeypatch):
     import numpy as np
 
-    from kinseq.llm.quality import DIM, OF_SHAPES, SHAPES, TEXTS, _tally, _unpack, index_vectors, tokens
+    from kinseq.llm import quality as ql
     from kinseq.llm.common import string_buffers
 
-    texts = ["alpha beta gamma alpha", "", None, "beta 12 !!", "gamma"]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(range(5), pa.int64()), pa.array(texts)], names=["i", "k", "t"])
-    sums = {}
-    for out in _tally(5)([batch]):
-        if out["block"][0].as_py() >= 0:
-            words, few, small, large = _unpack(out["data"][0].as_py())
-            full = np.empty((len(words), DIM + 1), np.int64)
-            full[few], full[~few] = small.T, large.T
-            sums.update(zip(words.tolist(), full.tolist(), strict=True))
-        else:
-            assert out["block"][0].as_py() in (TEXTS, OF_SHAPES)
-    word, shape, text = tokens(*string_buffers(pa.array(texts)))
-    own = index_vectors(word).astype(int) + index_vectors(np.arange(SHAPES, dtype=np.uint64)).astype(int)[shape]
-    want = {}
-    for i in range(len(word)):
-        near = [own[j] for j in range(max(0, i - 2), min(len(word), i + 3)) if j != i and text[j] == text[i]]
-        want[int(word[i])] = want.get(int(word[i]), np.zeros(DIM + 1, int)) + np.append(sum(near, np.zeros(DIM, int)), 1)
-    assert sums == {w: v.tolist() for w, v in want.items()}
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    monkeypatch.setattr(ql, "_SLICE", 3)  # texts are cut into slices
+    texts = ["alpha beta gamma alpha", "", None, "beta 12 !!", "gamma", "alpha alpha beta gamma 12 beta !! gamma"]
+    word, text = ql.tokens(*string_buffers(pa.array(texts)))
+    vocabulary = ql.Vocabulary(np.unique(word)[1:])  # all words but one
+    got = {}
+    for out in ql._contexts(Sent(vocabulary))([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])]):
+        got.update(zip(out["place"].to_pylist(), out["sums"].to_pylist(), strict=True))
+    own, want = ql.index_vectors(word).astype(int), {}
+    for i, w in enumerate(word):
+        k = int(np.searchsorted(vocabulary.words, w))
+        if vocabulary.words[min(k, len(vocabulary.words) - 1)] == w:
+            near = [own[j] for j in range(max(0, i - 2), min(len(word), i + 3)) if j != i and text[j] == text[i]]
+            want[k] = want.get(k, np.zeros(ql.DIM + 1, int)) + np.append(sum(near, np.zeros(ql.DIM, int)), 1)
+    assert got == {k: v.tolist() for k, v in want.items()}
+
+
+def test_quality_needs_the_word_vectors(spark, monkeypatch):
+    """Held-out texts use words that no labelled text has; only unlabelled rows tell what company they keep."""
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from kinseq.llm import quality as ql
+
+    rng = random.Random(4)
+    names = [a + b + c for a in "bdfgklmnpr" for b in "aeiou" for c in "lmnrst"]
+    rng.shuffle(names)
+    topics = {1: (names[:30], names[30:60]), 0: (names[60:90], names[90:120])}  # of each: words of labelled rows, words of the others
+    rows = [(i, " ".join(rng.choices(topics[i % 2][i // 2 % 2], k=40))) for i in range(400)]
+    rows += [(i, " ".join(rng.choices(topics[i % 2][0] + topics[i % 2][1], k=80))) for i in range(400, 1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400) if i // 2 % 2 == 0], "doc_id long, quality int")
+
+    def right() -> float:
+        got = {r.doc_id: r.score for r in ql.score_quality(docs, labels, F.lit(True)).collect()}
+        return np.mean([(got[i] >= 0.5) == (i % 2 == 1) for i in range(400) if i // 2 % 2])
+
+    assert right() > 0.95
+    monkeypatch.setattr(ql, "index_vectors", lambda keys, f=ql.index_vectors: f(keys))
+    monkeypatch.setattr(ql.Vocabulary, "learn", lambda self, places, sums: setattr(self, "vectors", np.zeros((len(self.words) + 1, ql.DIM), np.int8)))
+    assert right() < 0.75
+
+
+def test_temperature_is_inside_and_calibrates():
+    import numpy as np
+
+    from kinseq.llm.quality import temperature
+
+    rng = np.random.default_rng(3)
+    z = rng.normal(0, 2, 20_000)
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-z))).astype(float)
+    assert abs(temperature(5 * z, y) - 5) < 0.3  # logits five times too sure
+    parted = temperature(np.array([-9.0, -8.0, 8.0, 9.0]), np.array([0.0, 0.0, 1.0, 1.0]))
+    assert 3 < parted < 30  # Platt's targets are 3/4 and 1/4 here: log 3 = 8.5 / t
 
 
 def test_mixtures_of_more_than_three_languages():
