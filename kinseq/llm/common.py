@@ -232,8 +232,10 @@ def word_spans(raw: np.ndarray, offs: np.ndarray):
         at = stop
 
 
-def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` and each text's offset among them."""
+def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True, tails: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` and each text's offset among them.
+
+    ``tails``: the last ten bits are a hash of the word's last three bytes instead."""
     values = _byte_values(lower)
     hashes, places = [], []
     for at, segment, starts, ends in word_spans(raw, offs):
@@ -244,7 +246,11 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[
         sums[0] = 0
         np.cumsum(values[segment] * up[: len(segment)], out=sums[1:])
         h = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
-        hashes.append(mix64(h))
+        h = mix64(h)
+        if tails:
+            last = sum(np.where(ends - d >= starts, values[segment[np.maximum(ends - d, 0)]], 0) * np.uint64(_BASE ^ d) for d in (1, 2, 3))
+            h = (h & np.uint64(_MASK ^ 1023)) | (mix64(last.astype(np.uint64)) >> np.uint64(54))
+        hashes.append(h)
         places.append(starts + at)
     if not hashes:
         return np.zeros(0, dtype=np.uint64), np.zeros(len(offs), dtype=np.int64)
