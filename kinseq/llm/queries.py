@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from kinseq.llm.common import crc_mod, table
 
 
+#: op1 lists the units of passages of so many words; shorter repeats are cut all the same.
+PASSAGE = 30
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each removed passage of the corpus: where it was, which document keeps it, and a
-    digest of what is left of its own document (documents without one are unchanged)."""
+    """A row for each removed unit of a copied passage: where it was, its words and its passage's, which
+    document keeps it, and a digest of what is left of its own document once every repeat is cut.
+    Repeats in shorter passages (one sentence met by chance) are cut too, as the digest shows, but not listed."""
     from kinseq.llm.substring_dedup import remove_repeats
 
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.explode("removed").alias("r"), F.sha2("text", 256).alias("text_sha256")).select("doc_id", "r.start", "r.end", "r.words", "r.kept_in", "text_sha256")
+    rows = out.select("doc_id", F.explode(F.filter("removed", lambda r: r["passage_words"] >= PASSAGE)).alias("r"), F.sha2("text", 256).alias("text_sha256"))
+    return rows.select("doc_id", "r.start", "r.end", "r.words", "r.kept_in", "r.passage_words", "text_sha256")
 
 
 OP1_SQL = r"""
@@ -30,12 +36,13 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) AS n, min(doc_id) OVER (PARTITION BY norm) AS lo FROM counted WHERE words >= 3),
 broken AS (SELECT *, sum(CASE WHEN n > 1 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM ranked),
 span AS (
-  SELECT doc_id, min(pos) AS p0, max(pos) AS p1, min(s0) AS a, max(s0 + length(line)) AS b, CAST(sum(words) AS BIGINT) AS words, (list(lo ORDER BY words DESC, pos))[1] AS kept_in
-  FROM broken WHERE n > 1 GROUP BY doc_id, run HAVING sum(words) >= 30),
+  SELECT doc_id, run, min(pos) AS p0, max(pos) AS p1, CAST(sum(words) AS BIGINT) AS passage_words
+  FROM broken WHERE n > 1 GROUP BY doc_id, run),
 kept AS (
   SELECT u.doc_id, string_agg(u.line || substr(u.text, u.s0 + length(u.line) + 1, 1), '' ORDER BY u.pos) AS t
   FROM placed u WHERE NOT EXISTS (SELECT 1 FROM span s WHERE s.doc_id = u.doc_id AND u.pos BETWEEN s.p0 AND s.p1) GROUP BY u.doc_id)
-SELECT s.doc_id, s.a AS start, s.b AS "end", s.words, s.kept_in, sha256(coalesce(kept.t, '')) AS text_sha256 FROM span s LEFT JOIN kept USING (doc_id)
+SELECT b.doc_id, b.s0 AS start, b.s0 + length(b.line) AS "end", CAST(b.words AS BIGINT) AS words, b.lo AS kept_in, passage_words, sha256(coalesce(kept.t, '')) AS text_sha256
+FROM broken b JOIN span s ON b.doc_id = s.doc_id AND b.run = s.run LEFT JOIN kept ON kept.doc_id = b.doc_id WHERE b.n > 1 AND passage_words >= 30
 """
 
 

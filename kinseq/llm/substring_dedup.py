@@ -4,14 +4,16 @@ Texts are cut into units: lines, and inside them sentences (a space after ``.``,
 ends one), or paragraphs set apart by blank lines.  A unit of at least ``MIN_UNIT`` words is normalised
 (lower case, each run of 0x20/0x09-0x0D one space, ends trimmed) and hashed to 64 bits.  Digests are
 grouped globally to the smallest id that holds them: its first occurrence there is the earliest
-ranked, every other one is a repeat.  A *passage* is a run of neighbouring repeats (shorter units
-between two repeats belong to it) of at least ``MIN_PASSAGE`` words; passages are removed, so a chance
-repeat of one short sentence removes nothing.  Removed spans are code-point offsets into the original.
+ranked, every other one is a repeat, and every repeat is removed.  A *passage* is a run of neighbouring
+repeats (shorter units between two repeats belong to it and go with it); each removed unit is
+returned with its span in code points of the original, its words, the id that keeps it and the words
+of its passage, so chance repeats of a sentence can be told from copied passages.  ``min_passage`` spares
+passages of fewer words (by default none).
 
 Only digests, never units, are shuffled to find repeats; per digest only a minimum and a maximum
 are kept, combined on the map side, so a line that a third of all texts hold costs a row per task.
 
-Defined results: null or empty texts have no units; rows that repeat an id count as one document, in
+Defined results: null or empty texts have no units; a text of nothing but shorter units loses nothing; rows that repeat an id count as one document, in
 which each row keeps what the document keeps; a null id ranks after all others; extra columns
 pass through (``n_units`` and ``removed`` are replaced).
 """
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from kinseq.llm.common import materialise, small_batches
 
-MIN_UNIT, MIN_PASSAGE = 3, 30
+MIN_UNIT = 3
 _LAST = (1 << 63) - 1
 _CUT = {"line": re.compile(r"\n|(?<=[.!?]) "), "paragraph": re.compile("\n[ \t\r\f\v]*\n[ \t\r\f\v\n]*")}
 
@@ -51,13 +53,12 @@ def unit_digest(unit: str, min_unit: int) -> tuple[int | None, int]:
 
 
 def passages(text: str, own, gone: dict, kind: str, min_unit: int, min_passage: int):
-    """(units, [(first unit, last unit, words, id that keeps its longest unit)]) of what is removed."""
+    """(units, [[(unit, words, id that keeps it), ...] of each passage]) of what is removed."""
     parts, seen, runs, run = units(text, kind), set(), [], []
 
     def close() -> None:
-        words = sum(n for _, n, _ in run)
-        if run and words >= min_passage:
-            runs.append((run[0][0], run[-1][0], words, max(run, key=lambda r: (r[1], -r[0]))[2]))
+        if run and sum(n for _, n, _ in run) >= min_passage:
+            runs.append(list(run))
         run.clear()
 
     for k, (start, end) in enumerate(parts):
@@ -86,7 +87,7 @@ def _digests(kind: str, min_unit: int):
     return run
 
 
-_REMOVED = "array<struct<start:long,end:long,words:long,kept_in:long>>"
+_REMOVED = "array<struct<start:long,end:long,words:long,kept_in:long,passage_words:long>>"
 
 
 def _cut(kind: str, min_unit: int, min_passage: int, text_at: int, gone_at: int, schema: pa.Schema):
@@ -97,12 +98,14 @@ def _cut(kind: str, min_unit: int, min_passage: int, text_at: int, gone_at: int,
             owner, gone = columns[gone_at].to_pylist(), columns[gone_at + 1].to_pylist()
             for text, own, shared in zip(columns[text_at].to_pylist(), owner, gone, strict=True):
                 parts, runs = passages(text or "", own, {x["digest"]: x["keeper"] for x in shared or ()}, kind, min_unit, min_passage)
-                out, at = [], 0
-                for first, last, _, _ in runs:
+                out, at, cut = [], 0, []
+                for run in runs:
+                    first, last, words = run[0][0], run[-1][0], sum(n for _, n, _ in run)
                     out.append(text[at : parts[first][0]])
                     at = parts[last + 1][0] if last + 1 < len(parts) else len(text)
+                    cut += [{"start": parts[k][0], "end": parts[k][1], "words": n, "kept_in": None if i == _LAST else i, "passage_words": words} for k, n, i in run]
                 kept.append(text if not runs else "".join(out) + text[at:])
-                spans.append([{"start": parts[a][0], "end": parts[b][1], "words": w, "kept_in": None if i == _LAST else i} for a, b, w, i in runs])
+                spans.append(cut)
                 counts.append(len(parts) if text else 0)
             columns = columns[:gone_at]
             columns[text_at] = pa.array(kept, schema.field(text_at).type)
@@ -111,9 +114,9 @@ def _cut(kind: str, min_unit: int, min_passage: int, text_at: int, gone_at: int,
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "line", min_unit: int = MIN_UNIT, min_passage: int = MIN_PASSAGE) -> DataFrame:
-    """``docs`` with the text cut, ``n_units`` and ``removed``: the passages cut out, as (start, end,
-    words, kept_in), the last being the id whose text keeps the passage's longest unit."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "line", min_unit: int = MIN_UNIT, min_passage: int = 0) -> DataFrame:
+    """``docs`` with the text cut, ``n_units`` and ``removed``: the units cut out, as (start, end, words,
+    kept_in, passage_words), ``kept_in`` being the id whose text keeps the unit."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(docs.sparkSession)
