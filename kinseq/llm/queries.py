@@ -111,33 +111,39 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_lines").cast("long"), F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ";").alias("dropped"), F.sha2("text", 256).alias("text_sha256"))
 
 
-def op8_sql(documents: str = "documents") -> str:
+def op8_sql(documents: str = "documents", grow: int = 3) -> str:
     """WITH-clauses that end in ``dropped(rid, pos)`` and ``line(rid, doc_id, text, pos, line)``."""
+    rounds = []
+    for k in range(1, grow + 1):
+        left = f"forms{k}"
+        rounds.append(rf"""
+{left} AS (SELECT leaf, form, c FROM forms{k - 1 if k > 1 else ''} {f'ANTI JOIN member{k - 1} USING (leaf, form)' if k > 1 else ''}),
+token{k} AS (SELECT leaf, form, c, generate_subscripts(string_split(form, ' '), 1) AS at_, unnest(string_split(form, ' ')) AS token FROM {left}),
+vote{k} AS (SELECT leaf, at_, token, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY leaf, at_) AS total FROM token{k} GROUP BY leaf, at_, token),
+constant{k} AS (SELECT leaf, at_, token FROM vote{k} WHERE 2 * c > total AND token <> '<*>'),
+member{k} AS (
+  SELECT leaf, form, {k} AS grown FROM token{k} JOIN constant{k} USING (leaf, at_, token) GROUP BY leaf, form HAVING count(*) >= 0.5 * len(string_split(form, ' '))),""")
+    every = " UNION ALL ".join(f"SELECT * FROM member{k}" for k in range(1, grow + 1))
     return rf"""
 row_ AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {documents}),
 line AS (
   SELECT rid, doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line FROM row_),
 parsed AS (
   SELECT *, trim(line, ' ') AS bare, string_split(trim(line, ' '), ' ') AS tok FROM line),
-leafed AS (
-  SELECT rid, text, pos, bare, len(tok) AS n,
-    CASE WHEN len(tok) < 3 THEN '' ELSE len(tok) || ':' || regexp_replace(array_to_string(tok[1:3], ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') END AS leaf FROM parsed),
-around AS (
-  SELECT *, coalesce(lag(leaf) OVER w, '^') || chr(10) || coalesce(lead(leaf) OVER w, '$') AS ctx,
-    regexp_replace(bare, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS form FROM leafed WINDOW w AS (PARTITION BY rid ORDER BY pos)),
-seen AS (SELECT * FROM around WHERE leaf <> ''),
-exact_ AS (
-  SELECT leaf, form FROM (SELECT leaf, form, count(DISTINCT ctx) AS c, count(DISTINCT (ctx, text)) AS t FROM seen GROUP BY leaf, form) WHERE c >= 10 AND c >= 0.5 * t),
-wide AS (SELECT leaf FROM seen GROUP BY leaf HAVING count(DISTINCT ctx) >= 10),
-forms AS (SELECT leaf, form, count(*) AS c FROM seen SEMI JOIN wide USING (leaf) GROUP BY leaf, form),
-token AS (SELECT leaf, form, c, generate_subscripts(string_split(form, ' '), 1) AS at_, unnest(string_split(form, ' ')) AS token FROM forms),
-vote AS (SELECT leaf, at_, token, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY leaf, at_) AS total FROM token GROUP BY leaf, at_, token),
-constant_ AS (SELECT leaf, at_, token FROM vote WHERE 2 * c > total AND token <> '<*>'),
-member AS (
-  SELECT leaf, form FROM token JOIN constant_ USING (leaf, at_, token) GROUP BY leaf, form HAVING count(*) >= 0.5 * len(string_split(form, ' '))),
-general AS (
-  SELECT leaf FROM (SELECT leaf, count(DISTINCT ctx) AS c, count(DISTINCT (ctx, text)) AS t FROM seen SEMI JOIN member USING (leaf, form) GROUP BY leaf) WHERE c >= 10 AND c >= 0.5 * t),
-chosen AS (SELECT leaf, form FROM exact_ UNION SELECT leaf, form FROM member SEMI JOIN general USING (leaf)),
+seen AS (
+  SELECT rid, text, pos, len(tok) || ':' || regexp_replace(array_to_string(tok[1:3], ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS leaf, regexp_replace(bare, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS form,
+    count(*) OVER (PARTITION BY rid) AS size FROM parsed WHERE bare <> ''),
+wide AS (SELECT leaf FROM seen GROUP BY leaf HAVING count(DISTINCT text) >= 10),
+uses AS (SELECT DISTINCT text, leaf, form FROM seen SEMI JOIN wide USING (leaf)),
+forms AS (SELECT leaf, form, count(*) AS c FROM uses GROUP BY leaf, form),{"".join(rounds)}
+member AS ({every} UNION ALL SELECT leaf, form, 0 FROM forms),
+template_ AS (SELECT leaf, grown, CASE WHEN grown = 0 THEN form END AS own_form, text FROM uses JOIN member USING (leaf, form) GROUP BY ALL),
+common_ AS (SELECT leaf, grown, own_form FROM template_ GROUP BY ALL HAVING count(*) >= 10),
+candidate AS (SELECT DISTINCT m.leaf, m.form FROM member m JOIN common_ c ON m.leaf = c.leaf AND m.grown = c.grown AND (m.grown > 0 OR m.form = c.own_form)),
+own AS (SELECT text FROM (SELECT DISTINCT text, pos, leaf, form, size FROM seen) SEMI JOIN candidate USING (leaf, form) GROUP BY text HAVING count(*) <= CAST(2 AS DOUBLE) / 3 * any_value(size)),
+recurring AS (
+  SELECT leaf, grown, own_form FROM template_ t LEFT JOIN own o ON t.text = o.text GROUP BY ALL HAVING count(o.text) >= 10 AND count(o.text) >= 0.2 * count(*)),
+chosen AS (SELECT DISTINCT m.leaf, m.form FROM member m JOIN recurring c ON m.leaf = c.leaf AND m.grown = c.grown AND (m.grown > 0 OR m.form = c.own_form)),
 dropped AS (SELECT rid, pos FROM seen SEMI JOIN chosen USING (leaf, form))"""
 
 

@@ -364,6 +364,25 @@ def test_line_templates(spark):
         assert [lines[k].startswith("Posted on") for k in r.dropped] == ([True] if r.doc_id < 100 else [])
 
 
+def test_several_templates_of_a_leaf_and_page_frames(spark):
+    from kinseq.llm.template_lines import drop_template_lines
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    own = lambda: " ".join(word() for _ in range(9))
+    one = lambda: f"read more about {word()} on our site and get news"
+    two = lambda: f"read more about {word()} in this book by its author"
+    frame = ["home news sport", "the daily paper of the town", "all rights are reserved by us", "write to the editor today"]
+    docs = [(i, "\n".join([own(), one() if i < 40 else two(), own()])) for i in range(60)]
+    docs += [(100 + i, "\n".join([*frame[:2], own(), own(), *frame[2:]])) for i in range(60)]
+    copy = [own() for _ in range(9)]
+    docs += [(200 + i, "\n".join([own(), *copy, frame[0]])) for i in range(40)]  # near copies that hold a frame's line too
+    got = {r.doc_id: list(r.dropped) for r in drop_template_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[i] == [1] for i in range(60))
+    assert all(got[100 + i] == [0, 1, 4, 5] for i in range(60))
+    assert all(got[200 + i] == [10] for i in range(40))
+
+
 def test_template_plan_has_no_python(spark):
     plan = q.op8_line_dedup(spark, DATA)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
