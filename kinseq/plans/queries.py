@@ -985,8 +985,9 @@ n AS (SELECT clip_id, list(j0 ORDER BY frame_idx) AS v0, list(j1 - j0 ORDER BY f
 ny AS (SELECT clip_id, list(y ORDER BY frame_idx) AS y0 FROM z WHERE point = 'NOSE' GROUP BY clip_id),
 r AS (SELECT *, unnest(range(30)) AS i FROM n JOIN ny USING (clip_id)),
 p AS (SELECT clip_id, i, v0[CAST(i % len(v0) AS INTEGER) + 1] AS j0, v1[CAST(i % len(v0) AS INTEGER) + 1] AS j1, v3[CAST(i % len(v0) AS INTEGER) + 1] AS j3, y0[CAST(i % len(v0) AS INTEGER) + 1] AS r3 FROM r),
-d AS (SELECT clip_id, i, coalesce(lead(j0) OVER w - j0, 0) AS j0, coalesce(lead(j1) OVER w - j1, 0) AS j1, coalesce(lead(j3) OVER w - j3, 0) AS j3, coalesce(lead(r3) OVER w - r3, 0) AS r3 FROM p WINDOW w AS (PARTITION BY clip_id ORDER BY i))
-SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(r3) OVER c, 5) AS j3 FROM d WINDOW c AS (PARTITION BY clip_id)""",
+d AS (SELECT clip_id, i, coalesce(lead(j0) OVER w - j0, 0) AS j0, coalesce(lead(j1) OVER w - j1, 0) AS j1, coalesce(lead(j3) OVER w - j3, 0) AS j3, coalesce(lead(r3) OVER w - r3, 0) AS r3 FROM p WINDOW w AS (PARTITION BY clip_id ORDER BY i)),
+f AS (SELECT clip_id, CAST(i AS INTEGER) AS frame_idx, round(j0 - avg(j0) OVER c, 5) AS j0, round(j1 - avg(j0) OVER c, 5) AS j1, round(j3 - avg(r3) OVER c, 5) AS j3 FROM d WINDOW c AS (PARTITION BY clip_id))
+SELECT clip_id, frame_idx, CASE WHEN j0 <> 0 THEN j0 ELSE 0 END AS j0, CASE WHEN j1 <> 0 THEN j1 ELSE 0 END AS j1, CASE WHEN j3 <> 0 THEN j3 ELSE 0 END AS j3 FROM f""",
 )
 def udf1_whole_graph_chain(spark, sf_dir):
     """extract -> interpolate -> affine -> select_joints -> pad -> bones -> motion -> root_centre, all 27 joints."""
@@ -995,7 +996,8 @@ def udf1_whole_graph_chain(spark, sf_dir):
 
     options = TransformOptions(model="graph", split="train", interpolate=True, aug_prob=0.5, num_frames=30, bone_stream=True, motion_stream=True, bone_mode="true")
     out = run_chain(_long(spark, sf_dir), graph_steps(options))
-    return out.select("clip_id", "frame_idx", F.round(F.get("x", F.lit(0)), 5).alias("j0"), F.round(F.get("x", F.lit(1)), 5).alias("j1"), F.round(F.get("y", F.lit(3)), 5).alias("j3"))
+    plain = lambda c, i: F.when(F.round(F.get(c, F.lit(i)), 5) != 0, F.round(F.get(c, F.lit(i)), 5)).otherwise(0.0)  # noqa: E731  # no -0.0
+    return out.select("clip_id", "frame_idx", plain("x", 0).alias("j0"), plain("x", 1).alias("j1"), plain("y", 3).alias("j3"))
 
 
 @query("flt9_detected", f"WITH {c.FRAMES} SELECT clip_id, frame_idx FROM frames WHERE vis >= CAST(0.4 AS DOUBLE)")
