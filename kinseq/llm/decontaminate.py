@@ -37,6 +37,8 @@ BLOCK, MAX_BLOCKS = 4, 128
 #: An index broadcast to the executors holds at most so many bytes of items; more items are
 #: indexed in shards of that size, each run over all passages.
 SHARD_BYTES = 4_000_000
+#: Rows of block maxima that are held at once.
+_GATHER = 50_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 SCHEMA = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
@@ -177,45 +179,45 @@ def _search(index_of, overlap: float):
             runs = -(-np.diff(wo) // span)
             run_offs = np.concatenate([[0], np.cumsum(runs)])
             at, term = index.lookup(words)
+            passing: list[tuple[int, list[int]]] = []
             if len(at):
                 doc = np.searchsorted(wo, at, "right") - 1
                 run_no = run_offs[doc] + (at - wo[doc]) // span
                 key = np.unique((run_no.astype(np.uint64) << np.uint64(24)) | term.astype(np.uint64))
                 run_no, term = (key >> np.uint64(24)).astype(np.int64), (key & np.uint64(0xFFFFFF)).astype(np.int64)
                 have, first = np.unique(run_no, return_index=True)
-                bounds = np.zeros((run_offs[-1] + 1, index.block_max.shape[1]), dtype=np.float32)
-                step = 200_000  # bounds the gathered rows of block maxima
-                cuts = [0]
-                while cuts[-1] < len(have):
-                    stop = int(np.searchsorted(first, first[cuts[-1]] + step, "right"))
-                    cuts.append(max(cuts[-1] + 1, stop if stop < len(have) else len(have)))
-                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                    a, b = first[lo], first[hi] if hi < len(have) else len(term)
-                    bounds[have[lo:hi]] = np.add.reduceat(index.block_max[term[a:b]], first[lo:hi] - a, axis=0)
-                run_doc = np.searchsorted(run_offs, np.arange(run_offs[-1]), "right") - 1
-                paired = np.zeros(run_offs[-1] + 1, dtype=bool)  # has a next run in the same text
-                paired[: run_offs[-1] - 1] = run_doc[1:] == run_doc[:-1]
-                both = bounds[:-1] + np.where(paired[:-1, None], bounds[1:], 0)
                 last = np.append(first[1:], len(term))
-                slot = {int(r): k for k, r in enumerate(have.tolist())}
-                for r in np.flatnonzero(both.max(axis=1) >= 1).tolist():
-                    d = int(run_doc[r])
+                run_doc = np.searchsorted(run_offs, have, "right") - 1
+                # a run and the next one are a passage; one without any term adds nothing to the run before it
+                paired = np.append((have[1:] == have[:-1] + 1) & (run_doc[1:] == run_doc[:-1]), False)
+                lo = 0
+                while lo < len(have):  # a bounded number of gathered rows of block maxima at a time
+                    hi = max(lo + 1, int(np.searchsorted(first, first[lo] + _GATHER, "left")))
+                    over = min(hi + 1, len(have))
+                    a = first[lo]
+                    sums = np.add.reduceat(index.block_max[term[a : last[over - 1]]], first[lo:over] - a, axis=0)
+                    both = sums[: hi - lo].copy()
+                    both[: over - lo - 1] += np.where(paired[lo : lo + over - lo - 1, None], sums[1:], 0)[: hi - lo]
+                    passing.extend((lo + k, np.flatnonzero(both[k] >= 1).tolist()) for k in np.flatnonzero(both.max(axis=1) >= 1).tolist())
+                    lo = hi
+                for k, reached in passing:
+                    d = int(run_doc[k])
                     if ids[d] is None:
                         continue
-                    group = [r, r + 1] if paired[r] else [r]
-                    terms = {t for g in group if g in slot for t in term[first[slot[g]] : last[slot[g]]].tolist()}
-                    hits = [h for k in np.flatnonzero(both[r] >= 1).tolist() for h in index.wand(list(terms), k)]
+                    group = [k, k + 1] if paired[k] else [k]
+                    terms = {t for g in group for t in term[first[g] : last[g]].tolist()}
+                    hits = [h for block in reached for h in index.wand(list(terms), block)]
                     if not hits:
                         continue
-                    a = wo[d] + (r - run_offs[d]) * span
-                    passage = words[a : min(a + span * len(group), wo[d + 1])]
+                    a = wo[d] + (int(have[k]) - run_offs[d]) * span
+                    passage = words[a : min(a + span * 2, wo[d + 1])]
                     held = _held(passage)
                     for item, score in hits:
                         whole, q, ans = _share(index.whole[item], held), _share(index.question[item], held), _share(index.answer[item], held)
                         if whole >= overlap - 1e-9 or (index.answer[item] is not None and q >= overlap - 1e-9 and ans >= 0.5):
                             row = (whole, score, q, ans)
-                            k = (ids[d], index.ids[item])
-                            out[k] = max(out.get(k, row), row)
+                            pair = (ids[d], index.ids[item])
+                            out[pair] = max(out.get(pair, row), row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), *(pa.array([v[j] for v in out.values()], pa.float64()) for j in (1, 0, 2, 3))],
                 names=["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"],

@@ -307,7 +307,10 @@ def _encode_batches(path: str, check: bool, decoded: bool):
                         raise ValueError(f"ids of {batch.column(0)[k]} differ from the library's")
             columns = {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32()))}
             if decoded:
-                columns["decoded_sha256"] = pa.array([hashlib.sha256(vocab.library.decode(x.tolist()).encode("utf-8", "surrogatepass")).hexdigest() for x in lists], pa.string())
+                texts = [vocab.decode(x.tolist()) for x in lists]
+                if check and texts != [vocab.library.decode(x.tolist()) for x in lists]:
+                    raise ValueError("decoded texts differ from the library's")
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in texts], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -325,12 +328,15 @@ def _digest_batches(path: str):
             for at in range(0, len(known), 256):  # the lists of ids are the largest things here
                 own = [ids[a:b] for a, b in zip(offs[:-1][at : at + 256], offs[1:][at : at + 256], strict=True)]
                 theirs = vocab.library.encode([t or "" for t in known[at : at + 256]], add_bos=True, add_eos=True, num_threads=1)
-                for k, x in enumerate(own):
-                    if x.tolist() != theirs[k]:
+                for k, (x, text) in enumerate(zip(own, vocab.library.decode(theirs), strict=True)):
+                    mine = x.tolist()
+                    if mine != theirs[k]:
                         raise ValueError(f"ids of {batch.column(0)[at + k]} differ from the library's")
+                    decoded = vocab.decode(mine)
+                    if decoded != text:
+                        raise ValueError(f"the decoded text of {batch.column(0)[at + k]} differs from the library's")
                     ids_sha.append(hashlib.sha256(x.astype("<u4").tobytes()).hexdigest())
-                for text in vocab.library.decode(theirs):
-                    text_sha.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
+                    text_sha.append(hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run

@@ -118,7 +118,7 @@ def test_stages_on_edges(spark, tmp_path, name, stage):
     if name == "n-gram Jaccard join":
         assert sorted(i for i in ids if i is not None) == [1, *range(3, 13)] and ids.count(None) == 1
     if name == "benchmark decontamination":
-        assert 1 not in ids and 2 not in ids and len(ids) == 12
+        assert 1 not in ids and 2 not in ids and len(ids) == 11  # the leaked text without an id goes too
     if name == "line dedup":
         assert len(ids) == 14
     assert stage(spark, empty_docs(spark), str(tmp_path)).count() == 0

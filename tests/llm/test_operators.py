@@ -435,3 +435,40 @@ def test_sentencepiece_agrees_with_the_library(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
     back = decode(encode(docs, q.tokenizer_path()), q.tokenizer_path()).withColumnRenamed("text", "back")
     assert docs.join(back, "doc_id").filter(F.col("text") != F.col("back")).count() == 0
+
+
+def test_question_and_answer_rule_and_short_items(spark, monkeypatch):
+    """Against every item in every text: the item's overlap, or its question's with half of its answer's."""
+    from kinseq.llm import decontaminate as dc
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfgklm") + rng.choice("aeiou") for _ in range(3))
+    run = lambda n: [word() for _ in range(n)]
+    items, docs = [], []
+    for i in range(30):
+        q, a = run(rng.choice([2, 6, 20])), run(rng.choice([1, 3, 12]))
+        items.append((i, " ".join(q) + "? " + " ".join(a) + "."))
+        for part in (q + a, q + a[: max(1, len(a) // 2)], q, q[: len(q) * 3 // 4] + a):
+            text = run(rng.randint(0, 60)) + part + run(rng.randint(0, 60))
+            docs.append((len(docs), " ".join(text)))
+    for i, (q, a) in enumerate((t.split("? ") for _, t in items)):  # as they stand, marks included
+        docs.append((1000 + i, " ".join(run(40)) + f" {q}? {a} " + " ".join(run(40))))
+        docs.append((2000 + i, " ".join(run(4000)) + f" {q}? " + a[: len(a) * 2 // 3]))
+    monkeypatch.setattr(dc, "_GATHER", 40)  # passages are judged in many pieces
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+    def grams(words_):
+        return {tuple(words_[k : k + 5]) for k in range(len(words_) - 4)} if len(words_) >= 5 else {tuple(words_)} if words_ else set()
+
+    longest, want = max(len(words(t)) for _, t in items), set()
+    for d, text in docs:
+        w = words(text)
+        for start in range(0, len(w), longest):
+            passage = w[start : start + 2 * longest]
+            held = grams(passage) | {tuple(passage[k : k + n]) for n in range(1, 5) for k in range(len(passage) - n + 1)}
+            for i, item in items:
+                share = lambda t: len(grams(words(t)) & held) / len(grams(words(t)))
+                q, a = dc.question_and_answer(item)
+                if share(item) >= 0.8 or (a and share(q) >= 0.8 and share(a) >= 0.5):
+                    want.add((d, i))
+    assert got == want and len(want) > 60

@@ -25,3 +25,11 @@ def test_stages(spark, tmp_path):
     leaked = {i for i, r in near.items() for t in items if len(shingle_set(r.text) & t) >= 0.8 * len(t)}
     assert leaked and set(clean) == set(near) - leaked
     assert set(coded) == set(clean) and all(r.n_tokens == len(r.ids) for r in coded.values())
+
+
+def test_no_text_is_lost_with_a_repeated_id(spark):
+    a, b, u, v = (" ".join(f"{x}{k}" for k in range(40)) for x in "abuv")
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (5, u), (5, v), (None, u), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.text for r in pipeline.near_duplicate_removal(spark, docs, "").collect()]
+    assert sorted(t for t in kept if t in (a, u, v)) == [a, u, v] and sum(t in (b, b + " more") for t in kept) == 1 and None in kept and len(kept) == 5
