@@ -27,6 +27,7 @@ BONES = [(a - 5, b - 5) for a, b in BONES_FROM_5]
 # Signers of the fixed split, by role; three change their role with the camera.
 VAL_SIGNERS, TEST_SIGNERS, SHARED_SIGNERS = ["007"], ["024"], ["009"]
 BY_CAMERA = {"020": ("1", "2", "3"), "014": ("2", "3", "1"), "015": ("3", "1", "2")}
+# Extensions of video files.
 VIDEO_EXTENSIONS = (".mp4", ".avi", ".mov", ".mkv")
 
 
