@@ -12,10 +12,10 @@ The log-bilinear model predicts a symbol w from the ``ORDER`` symbols before it:
 matrix for each position.  The output is factored in groups of neighbours by frequency: group g has the
 logit h q[g] + b[g] among the groups, w has h q[w] + b[w] in its group.  Both are trained in numpy by
 noise-contrastive estimation on minibatches of real contexts with sampled noise (from the groups', and
-from the group's own, frequencies).  A first model is fitted on the driver to at most ``FIRST`` tokens of
-texts drawn by hash; learners in parallel then each train it further on their part of every ``PART``-th
-training text (drawn by hash), so what training reads grows with the corpus, and their rows are averaged,
-weighted by how often each was used.
+from the group's own, frequencies).  The model comes from every training text: learners in parallel each
+train on their part of all of them, and their rows are averaged, weighted by how often each was used.
+So that these averages are of like vectors, all start from the same tables: those fitted on the driver to
+at most ``FIRST`` tokens of texts drawn by hash, which the learners read again.
 Scores are normalised exactly: batched matrix products of all contexts with all groups, and of
 those that fall in a group with all of its symbols.
 
@@ -41,7 +41,7 @@ from kinseq.llm.common import arrow_map, joined, materialise, merge_counts, retu
 TAILS = 1 << 10
 END = np.uint64(0x454E445F4F465000)
 SHARE, HEAD, ORDER, DIM = 2.0**-17, 1 << 17, 3, 32
-NOISE, BATCH, RATE, FIRST, PASSES, PART, LEARNER, LEARNERS = 16, 4096, 0.1, 1_000_000, 4, 4, 2_000_000, 1024
+NOISE, BATCH, RATE, FIRST, PASSES, LEARNER, LEARNERS = 16, 4096, 0.1, 1_000_000, 4, 2_000_000, 1024
 _SLICE = 1 << 16
 
 
@@ -308,12 +308,12 @@ def _learn(state):
 
 
 def fit(texts: DataFrame, symbols: Symbols) -> LogBilinear:
-    """The model of the training ``texts(text)``."""
+    """The model of all training ``texts(text)``."""
     spark = texts.sparkSession
     state = spark.sparkContext.broadcast(symbols)
     mean = max(1.0, symbols.total / max(1, texts.count()))
     model, share = LogBilinear(symbols), min(1.0, FIRST / max(1, symbols.total))
-    # drawn by hash to about FIRST tokens, then as many whole texts as hold at most that many
+    # where learners start: drawn by hash to about FIRST tokens, then as many whole texts as hold at most that many
     drawn = texts.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     drawn = drawn.select("text", F.octet_length("text").alias("size")).filter(F.col("size") <= 64 * FIRST).orderBy(F.xxhash64("text", F.lit(7)), "text").limit(int(2 * FIRST / mean) + 1)
     first = arrow_map(drawn.select("text"), _encode(state), "part long, symbols array<int>").toArrow()
@@ -321,9 +321,9 @@ def fit(texts: DataFrame, symbols: Symbols) -> LogBilinear:
     for _ in range(PASSES):
         for part in parts:
             model.train(*part)
-    sample = texts.filter(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(PART)) == 0)
-    learners = max(1, min(LEARNERS, int(symbols.total / PART / LEARNER)))
-    dealt = arrow_map(sample, _encode(state), "part long, symbols array<int>").repartition(learners, F.xxhash64("part"))
+    # all texts: with more tokens there are more learners, and beyond LEARNERS of them each reads more
+    learners = max(1, min(LEARNERS, int(symbols.total / LEARNER)))
+    dealt = arrow_map(texts, _encode(state), "part long, symbols array<int>").repartition(learners, F.xxhash64("part"))
     rows = arrow_map(dealt, _learn(spark.sparkContext.broadcast(model)), "tab int, row int, v array<double>")
     got = sum_rows(rows, ["tab", "row"], "v", DIM + 2).toArrow()  # the model's rows, whatever the input
     tab, row = got["tab"].to_numpy(), got["row"].to_numpy()
