@@ -5,7 +5,9 @@ A fixed-depth tree parses each line: its number of tokens, then its ``DEPTH`` le
 grown: every line with its digit fields masked; and, by similarity, templates that keep a token
 where most of the leaf's lines agree and have ``<*>`` elsewhere.  A line belongs to such a template if
 it equals at least ``SIMILAR`` of all its places; from the lines that belong to none yet the next
-template of the leaf is grown, up to ``GROW`` of them.
+template of the leaf is grown, and so on until nothing is left that could recur: a leaf is done when it
+grew none, as its votes then stay as they are, or when what is left of it stands in fewer than
+``MIN_DOCS`` texts.
 
 A template *recurs* if it stands in at least ``MIN_DOCS`` different texts, and it is then dropped
 from all documents.  The lines of a text and its many copies would recur too, but nearly all of
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kinseq.llm.common import materialise, temporary_tables
 
-DEPTH, MIN_DOCS, SIMILAR, GROW, OWN, SHARE = 3, 10, 0.5, 3, 2 / 3, 0.2
+DEPTH, MIN_DOCS, SIMILAR, OWN, SHARE = 3, 10, 0.5, 2 / 3, 0.2
 #: Up to so many recurring leaves the filter on leaves may be broadcast; above, it shuffles.
 BROADCAST_LEAVES = 200_000
 _FIELD = "[^ ]*[0-9][^ ]*"
@@ -70,8 +72,9 @@ def _standing(uses: DataFrame, members: DataFrame, own: DataFrame | None) -> Dat
     return exact.unionByName(members.join(grown, ["leaf", "grown"]).select("leaf", "form", "texts", "own", "grown"))
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR, grow: int = GROW) -> DataFrame:
-    """(doc_id, text_key, pos) of every line that belongs to a recurring template."""
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR, grow: int | None = None) -> DataFrame:
+    """(doc_id, text_key, pos) of every line that belongs to a recurring template; ``grow`` bounds the
+    templates a leaf grows by similarity (None: all)."""
     parsed = _lines(docs, id_col, text_col, depth)
     held = parsed.select("text_key", F.explode(F.array_distinct("leaves")).alias("leaf")).filter("leaf <> 0").distinct()
     # a leaf in fewer texts than asked for cannot hold a template in enough of them
@@ -87,12 +90,17 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # how many texts hold a form; votes are of texts, so a copied page does not outvote others with its copies' rows
     forms = rows.select("leaf", "form", "masked").distinct().join(uses.groupBy("leaf", "form").agg(F.count("*").alias("n")), ["leaf", "form"])
     left = materialise(forms, "forms")
-    members = None
-    for k in range(1, grow + 1):
+    members, k = None, 0
+    while grow is None or k < grow:
+        k += 1
         more = materialise(_grown(left, similar).withColumn("grown", F.lit(k)), "members")  # read back, so that AQE can split hot leaves
         members = more if members is None else members.unionByName(more)
-        if k < grow:
-            left = materialise(left.join(more, ["leaf", "form"], "left_anti"), "forms")
+        # leaves that grew one go on with the rest of their forms, if these stand in enough texts
+        rest = left.join(more, ["leaf", "form"], "left_anti").join(more.select("leaf").distinct(), "leaf", "left_semi")
+        alive = rest.groupBy("leaf").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_docs).select("leaf")
+        left = materialise(rest.join(alive, "leaf", "left_semi"), "forms")
+        if left.isEmpty():
+            break
     candidates = materialise(_standing(uses, members, None).filter(F.col("texts") >= min_docs).select("leaf", "form").distinct(), "candidates")
     common = rows.select("text_key", "size", "pos", "leaf", "form").distinct().join(candidates, ["leaf", "form"], "left_semi").groupBy("text_key").agg(F.first("size").alias("size"), F.count("*").alias("n"))
     own = materialise(common.filter(F.col("n") <= OWN * F.col("size")).select("text_key"), "own")
