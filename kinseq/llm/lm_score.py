@@ -42,7 +42,8 @@ TAILS = 1 << 10
 END = np.uint64(0x454E445F4F465000)
 SHARE, HEAD, ORDER, DIM = 2.0**-17, 1 << 17, 3, 32
 NOISE, BATCH, RATE, FIRST, PASSES, LEARNER, LEARNERS = 16, 4096, 0.1, 1_000_000, 4, 2_000_000, 1024
-_SLICE = 1 << 16
+_SLICE, _BITS, _OFTEN = 1 << 14, 18, 16
+_ARRAYS = 1 << 25  # the same arrays, smaller than so many bytes, come and go with every batch
 
 
 def token_stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +60,7 @@ def token_stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tokens(column: pa.Array):
+    return_memory(above=_ARRAYS)
     yield token_stream(column)[0]
 
 
@@ -81,9 +83,14 @@ class Symbols:
         self.symbol[known] = number[: len(known)]
         self.mass = np.maximum(mass[order], 0.5)
         self.pad = self.k  # what stands before a text
+        self.kind = np.uint16 if self.k < 1 << 16 else np.int32  # the narrower are sorted faster
         # inside a tail symbol: mass, and the log10 share of an unseen token
         self.tail_mass, self.tail_types = np.maximum(tail_mass, 1.0).astype(np.float64), tail_types
         self.unseen = np.log10(np.where(tail_types > 0, self.discount * tail_types / self.tail_mass, 1.0))
+        inside = np.log10(np.maximum(self.counts - self.discount, 1e-9) / self.tail_mass[(self.tokens & np.uint64(TAILS - 1)).astype(np.int64)])
+        self.inside = np.append(np.where(self.symbol < 0, inside, 0.0), 0.0)  # the last for -1
+        # where the search for a token starts, by its first bits
+        self.first = np.searchsorted(self.tokens, np.arange(1 << _BITS, dtype=np.uint64) << np.uint64(64 - _BITS)).astype(np.int32)
         root = np.cumsum(np.sqrt(self.mass))
         groups = max(1, int(0.6 * np.sqrt(self.k)))
         self.group = np.minimum((root / root[-1] * groups).astype(np.int32), groups - 1)
@@ -100,15 +107,20 @@ class Symbols:
         tail = self.of_tail[(stream & np.uint64(TAILS - 1)).astype(np.int64)]
         if not len(self.tokens):
             return np.full(len(stream), -1), tail
-        at = np.minimum(np.searchsorted(self.tokens, stream), len(self.tokens) - 1)
+        tokens = np.append(self.tokens, np.uint64(2**64 - 1))
+        at = self.first[stream >> np.uint64(64 - _BITS)]
+        left = np.flatnonzero(tokens[at] < stream)
+        while len(left):  # a few tokens have the same first bits
+            at[left] += 1
+            left = left[tokens[at[left]] < stream[left]]
+        at = np.minimum(at, len(self.tokens) - 1)
         at = np.where(self.tokens[at] == stream, at, -1)
         own = self.symbol[at]
         return at, np.where((at >= 0) & (own >= 0), own, tail)
 
     def share(self, at: np.ndarray, stream: np.ndarray) -> np.ndarray:
         """log10 share of head tokens in their symbols: 0 for those with a symbol of their own."""
-        mass = self.tail_mass[(stream & np.uint64(TAILS - 1)).astype(np.int64)]
-        return np.where((at >= 0) & (self.symbol[at] < 0), np.log10(np.maximum(self.counts[at] - self.discount, 1e-9) / mass), 0.0) if len(self.tokens) else np.zeros(len(stream))
+        return self.inside[at]
 
 
 def contexts(symbols: np.ndarray, offs: np.ndarray, pad: int) -> np.ndarray:
@@ -122,11 +134,31 @@ def contexts(symbols: np.ndarray, offs: np.ndarray, pad: int) -> np.ndarray:
 
 
 def _by_row(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct rows, the sums of their gradients and how many there were."""
+    """Distinct rows, the sums of their gradients and how many there were; rows met most often first."""
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    return rows[first], np.add.reduceat(grads[order], first, axis=0), np.diff(np.append(first, len(rows)))
+    times = np.diff(np.append(first, len(rows)))
+    by = np.argsort(-times, kind="stable")
+    first, times = first[by], times[by]
+    out = grads.take(order[first], axis=0)
+    more = np.searchsorted(-times, -np.arange(_OFTEN + 1))  # how many are met more often than so
+    often = more[_OFTEN]
+    for i in range(often):
+        out[i] = grads.take(order[first[i] : first[i] + times[i]], axis=0).sum(axis=0)
+    for j in range(1, _OFTEN):  # the others: all second ones, all third ones, ...
+        if more[j] > often:
+            out[often : more[j]] += grads.take(order[first[often : more[j]] + j], axis=0)
+    return rows[first], out, times
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x += np.float32(1)
+    x *= np.float32(0.5)
+    return x
 
 
 class LogBilinear:
@@ -152,57 +184,78 @@ class LogBilinear:
         self.logn_g, self.logn_q = ((x + np.log(NOISE)).astype(np.float32) for x in (self.s.of_group, self.s.in_group))
 
     def _update(self, name: str, rows, grads: np.ndarray, times) -> None:
-        self.squares[name][rows] += grads * grads
-        self.p[name][rows] -= np.float32(RATE) * grads / np.sqrt(self.squares[name][rows])
+        p, squares = self.p[name], self.squares[name]
+        now = squares.take(rows, axis=0)
+        now += grads * grads
+        squares[rows] = now
+        np.sqrt(now, out=now)
+        np.divide(grads, now, out=now)
+        now *= np.float32(RATE)
+        p[rows] = p.take(rows, axis=0) - now
         self.used[name][rows] += times
 
-    def _noise(self, low: float, high: float, n: int) -> np.ndarray:
-        """Symbols drawn by frequency between two points of the cumulated frequencies."""
-        return np.minimum(np.searchsorted(self.ends, self.rng.uniform(low, high, n), "right"), self.s.k - 1)
-
-    @staticmethod
-    def _contrast(h1, out, logn, target, noise, noise_out):
-        """Gradients of the NCE loss by (h with a one, target rows, noise rows): real against sampled."""
-        real = 0.5 * np.tanh(0.5 * ((h1 * out).sum(axis=1) - logn[target])) - np.float32(0.5)
-        fake = 0.5 * np.tanh(0.5 * (h1 @ noise_out.T - logn[noise])) + np.float32(0.5)
-        return real[:, None] * out + fake @ noise_out, real[:, None] * h1, fake.T @ h1
+    def _noise(self, low, high, size) -> np.ndarray:
+        """Symbols drawn by frequency between points of the cumulated frequencies."""
+        return np.minimum(np.searchsorted(self.ends, self.rng.uniform(low, high, size), "right"), self.s.k - 1)
 
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
-        """One minibatch of contexts [ORDER, n] and the symbols that follow them."""
+        """One minibatch of contexts [n, ORDER] and the symbols that follow them, in their order.
+
+        The loss is NCE's, real against sampled, twice: the groups, and the symbols of each group.  Output
+        vectors are used less the log of their noise in the place of the bias, which h does not see."""
         s, p, n = self.s, self.p, len(target)
-        order = np.argsort(target, kind="stable")  # groups are ranges of symbols
-        ctx, target = ctx[:, order], target[order]
-        group, cuts = s.group[target], np.searchsorted(target, s.bounds)
-        r, m = [p["r"][c] for c in ctx], p["m"].reshape(ORDER, DIM, DIM)
+        group, cuts = s.group[target], np.searchsorted(target, s.bounds)  # groups are ranges of symbols
+        r = p["r"].take(ctx, axis=0).reshape(n, ORDER * DIM)
         h1 = np.ones((n, DIM + 1), dtype=np.float32)
-        h1[:, :DIM] = r[0] @ m[0]
-        for c in range(1, ORDER):
-            h1[:, :DIM] += r[c] @ m[c]
+        h1[:, :DIM] = r @ p["m"]
+        # groups
         noise = s.group[self._noise(0, self.ends[-1], NOISE)]
-        dh, real, fake = self._contrast(h1, p["g"][group], self.logn_g, group, noise, p["g"][noise])
-        self._update("g", *_by_row(np.concatenate([group, noise]), np.concatenate([real, fake])))
-        own, drawn, grads, more = p["q"][target], [], np.zeros_like(h1), []
-        for g in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(s.bounds) > 1)):
-            lo, hi, part = s.bounds[g], s.bounds[g + 1], slice(cuts[g], cuts[g + 1])
-            noise = self._noise(self.ends[lo] - s.mass[lo], self.ends[hi - 1], NOISE)
-            add, grads[part], fake = self._contrast(h1[part], own[part], self.logn_q, target[part], noise, p["q"][noise])
-            dh[part] += add
-            drawn.append(noise)
-            more.append(fake)
-        if drawn:
-            self._update("q", *_by_row(np.concatenate([target, *drawn]), np.concatenate([grads, *more])))
+        shifted = p["g"].copy()
+        shifted[:, DIM] -= self.logn_g
+        own, out = shifted.take(group, axis=0), shifted[noise]
+        real, fake = _sigmoid(np.vecdot(h1, own)) - np.float32(1), _sigmoid(h1 @ out.T)
+        dh = fake @ out
+        own *= real[:, None]
+        dh += own
+        some = np.flatnonzero(np.diff(cuts))
+        sums = [real[cuts[g] : cuts[g + 1]] @ h1[cuts[g] : cuts[g + 1]] for g in some]
+        rows, sums, _ = _by_row(np.concatenate([some, noise]), np.concatenate([sums, fake.T @ h1]))
+        self._update("g", rows, sums, np.bincount(np.concatenate([group, noise]), minlength=len(s.of_group))[rows])
+        # the symbols of each group that has several
+        some = some[np.diff(s.bounds)[some] > 1]
+        if len(some):
+            low, high = s.bounds[some], s.bounds[some + 1]
+            noise = self._noise((self.ends[low] - s.mass[low])[:, None], self.ends[high - 1][:, None], (len(some), NOISE))
+            own, out = p["q"].take(target, axis=0), p["q"].take(noise, axis=0)
+            own[:, DIM] -= self.logn_q[target]
+            out[:, :, DIM] -= self.logn_q[noise]
+            real = _sigmoid(np.vecdot(h1, own)) - np.float32(1)
+            real[(np.diff(s.bounds) == 1)[group]] = 0
+            fake, drawn = np.zeros((n, NOISE), dtype=np.float32), np.empty_like(out)
+            parts = [slice(a, b) for a, b in zip(cuts[some].tolist(), cuts[some + 1].tolist())]
+            for part, vectors in zip(parts, out):
+                np.matmul(h1[part], vectors.T, out=fake[part])
+            _sigmoid(fake)
+            for part, vectors, grads in zip(parts, out, drawn):
+                dh[part] += fake[part] @ vectors
+                np.matmul(fake[part].T, h1[part], out=grads)
+            own *= real[:, None]
+            dh += own
+            self._update("q", *_by_row(np.concatenate([target, noise.reshape(-1).astype(target.dtype)]), np.concatenate([real[:, None] * h1, drawn.reshape(-1, DIM + 1)])))
         dh = np.ascontiguousarray(dh[:, :DIM])
-        self._update("m", slice(None), np.concatenate([r[c].T @ dh for c in range(ORDER)]) / np.float32(np.sqrt(n)), n)
-        self._update("r", *_by_row(ctx.reshape(-1), np.concatenate([dh @ m[c].T for c in range(ORDER)])))
+        back = (dh @ p["m"].T).reshape(-1, DIM)
+        self._update("m", np.arange(ORDER * DIM), r.T @ dh / np.float32(np.sqrt(n)), n)
+        self._update("r", *_by_row(ctx.reshape(-1), back))
 
     def train(self, symbols: np.ndarray, offs: np.ndarray) -> None:
         """One pass over the texts' symbols in drawn order."""
-        return_memory(above=1 << 25)  # the same arrays come and go with every minibatch
-        ctx = contexts(symbols, offs, self.s.pad)
-        order = self.rng.permutation(len(symbols))
+        return_memory(above=_ARRAYS)
+        ctx = np.ascontiguousarray(contexts(symbols, offs, self.s.pad).T.astype(self.s.kind))
+        order, symbols = self.rng.permutation(len(symbols)), symbols.astype(self.s.kind)
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]
-            self.step(ctx[:, some], symbols[some])
+            some = some[np.argsort(symbols[some], kind="stable")]
+            self.step(ctx[some], symbols[some])
 
     def copy(self, seed: int) -> LogBilinear:
         """The same tables to train further, with steps as small as they have become and draws of its own."""
@@ -216,39 +269,41 @@ class LogBilinear:
 
 
 class Scorer:
-    """What scoring needs: the context vectors times their matrices, and the output vectors."""
+    """What scoring needs: the context vectors times their matrices, and the output vectors.  The first
+    position's vectors end with a one, that the bias is counted."""
 
     def __init__(self, model: LogBilinear) -> None:
         p, m = model.p, model.p["m"].reshape(ORDER, DIM, DIM)
         self.s, self.q, self.g = model.s, p["q"], p["g"]
-        self.r = np.stack([p["r"] @ m[c] for c in range(ORDER)])
+        self.r = np.stack([np.column_stack([p["r"] @ m[c], np.full(len(p["r"]), c == 0, dtype=np.float32)]) for c in range(ORDER)])
 
     def log_probs(self, symbols: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Natural log-probability of each symbol after those before it."""
         ctx, out, s = contexts(symbols, offs, self.s.pad), np.zeros(len(symbols)), self.s
         for at in range(0, len(symbols), _SLICE):
-            part, target = slice(at, at + _SLICE), symbols[at : at + _SLICE]
-            h = sum(self.r[c][ctx[c, part]] for c in range(ORDER))
-            group = s.group[target]
-            got = _chosen(h @ self.g[:, :DIM].T + self.g[:, DIM], group)
-            order = np.argsort(group, kind="stable")
-            cuts = np.searchsorted(group[order], np.arange(len(s.bounds)))
+            order = at + np.argsort(symbols[at : at + _SLICE].astype(s.kind), kind="stable")  # groups are ranges of symbols
+            target = symbols[order]
+            h = sum(self.r[c].take(ctx[c].take(order), axis=0) for c in range(ORDER))
+            got = _chosen(h @ self.g.T, s.group[target])
+            cuts = np.searchsorted(target, s.bounds)
             for g in np.flatnonzero(np.diff(cuts)):
                 lo, hi = s.bounds[g], s.bounds[g + 1]
                 if hi - lo > 1:
-                    some = order[cuts[g] : cuts[g + 1]]
-                    for few in np.array_split(some, -(-len(some) * int(hi - lo) // (1 << 22))):  # bounds the product
-                        got[few] += _chosen(h[few] @ self.q[lo:hi, :DIM].T + self.q[lo:hi, DIM], target[few] - lo)
-            out[part] = got
+                    step = max(1, (1 << 22) // int(hi - lo))  # bounds the product
+                    for first in range(cuts[g], cuts[g + 1], step):
+                        few = slice(first, min(first + step, cuts[g + 1]))
+                        got[few] += _chosen(h[few] @ self.q[lo:hi].T, target[few] - lo)
+            out[order] = got
         return out
 
 
 def _chosen(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log of the softmax at ``target`` in each row."""
-    top = logits.max(axis=1)
+    if logits.max() > 60 or logits.min() < -60:  # else no power leaves the range of the type
+        logits -= logits.max(axis=1, keepdims=True)
     picked = logits[np.arange(len(target)), target]
-    np.exp(np.subtract(logits, top[:, None], out=logits), out=logits)
-    return (picked - top - np.log(logits.sum(axis=1))).astype(np.float64)
+    np.exp(logits, out=logits)
+    return (picked - np.log(logits @ np.ones(logits.shape[1], dtype=np.float32))).astype(np.float64)
 
 
 # --------------------------------------------------------------------------- training over the corpus
@@ -258,6 +313,7 @@ def _encode(state):
     def run(batches):
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 20
+        return_memory(above=_ARRAYS)
         for batch in joined(batches, 500):
             stream, offs = token_stream(batch.column(0))
             symbols = state.value.find(stream)[1].astype(np.int32)
@@ -342,6 +398,7 @@ def _score(state):
         scorer = state.value
         symbols, context = scorer.s, TaskContext.get()
         key = (context.partitionId() if context else 0) << 40
+        return_memory(above=_ARRAYS)
         base = np.append(symbols.base(symbols.counts), 0.0)
         for batch in batches:
             stream, offs = token_stream(batch.column(1))
